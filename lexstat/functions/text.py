@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Characters that NFKC keeps and that have no upper case: ASCII without capitals, kana, kanji.
 _PLAIN = r"^[\x21-\x40\x5b-\x7eぁ-ゔァ-ヺー一-鿿]*$"
@@ -17,7 +18,7 @@ def fold(text: str | None) -> str | None:
     return None if text is None else unicodedata.normalize("NFKC", text).lower().strip()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold_udf(s: pd.Series) -> pd.Series:
     return s.map(fold, na_action="ignore")
 
