@@ -248,7 +248,7 @@ def agreement(df: DataFrame) -> DataFrame:
     no = total - F.col("yes")
     return s.select(
         "n_words", (F.col("n_words") * size).alias("n_units"), total.alias("n_judgments"),
-        F.when((F.col("yes") > 0) & (no > 0), 1 - (total - 1) * F.col("d") / (F.col("yes") * no)).alias("alpha"))
+        F.when((F.col("yes") > 0) & (no > 0), F.round(1 - (total - 1) * F.col("d") / (F.col("yes") * no), 9)).alias("alpha"))
 
 
 def _beta_interval(a: float, b: float, level: float = 0.95) -> tuple[float, float]:
