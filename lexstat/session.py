@@ -53,8 +53,13 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """df written as a Parquet table in the shared folder and read back: columnar and prunable."""
+    """df written as a Parquet table in the shared folder and read back: columnar and prunable.
+
+    Executors can be lost without losing it. It is deleted when the driver's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
