@@ -22,11 +22,12 @@ _POS = (
 )
 
 
-def _pos(c: Column, which: int) -> Column:
-    out = F.lit(("補助記号", "一般")[which])
-    for pattern, *pos in reversed(_POS):
-        out = F.when(c.rlike(pattern), pos[which]).otherwise(out)
-    return out
+def _class(first: Column) -> Column:
+    """Class of a code point, as the TOKEN pattern parts them: foreign, digit, kanji, hiragana, space or sign."""
+    foreign = first.between(65, 90) | first.between(97, 122) | first.between(0x30A1, 0x30F6) | (first == 0x30FC)
+    return (
+        F.when(foreign, "foreign").when(first.between(0x4E00, 0x9FA5) | (first == 0x3005), "kanji").when(first.between(0x3041, 0x3093), "hiragana")
+        .when(first.between(48, 57), "digit").when(first.isin(32, 9, 0x3000), "space").otherwise("sign"))
 
 
 def regex_morphemes(text: Column) -> Column:
@@ -38,11 +39,17 @@ def regex_morphemes(text: Column) -> Column:
     ends = F.aggregate(
         tokens, F.array().cast("array<int>"),
         lambda acc, t: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.length(t))))
-    return F.transform(
-        F.arrays_zip(tokens.alias("t"), ends.alias("e")),
-        lambda x: F.struct(
-            x["t"].alias("surface"), F.lower(x["t"]).alias("norm"), _pos(x["t"], 0).alias("pos0"), _pos(x["t"], 1).alias("pos1"),
-            (x["e"] - F.length(x["t"])).alias("start"), x["e"].alias("end"), (~x["t"].rlike("^[A-Za-zァ-ヶー]")).alias("known")))
+    classed = F.zip_with(tokens, ends, lambda t, e: F.struct(t.alias("t"), e.alias("e"), _class(F.ascii(t)).alias("c")))
+
+    def morpheme(x: Column) -> Column:
+        c = x["c"]
+        noun = c.isin("foreign", "kanji", "digit")
+        pos0 = F.when(noun, "名詞").when(c == "hiragana", "助詞").when(c == "space", "空白").otherwise("補助記号")
+        pos1 = F.when(c == "digit", "数詞").when(noun, "普通名詞").when(c == "space", "空白").otherwise("一般")
+        return F.struct(x["t"].alias("surface"), F.lower(x["t"]).alias("norm"), pos0.alias("pos0"), pos1.alias("pos1"),
+                        (x["e"] - F.length(x["t"])).alias("start"), x["e"].alias("end"), (c != "foreign").alias("known"))
+
+    return F.transform(classed, morpheme)
 
 
 def dictionary_morphemes(df: DataFrame, words: dict[str, tuple[str, str, str]], text: str = "text", out: str = "morphemes") -> DataFrame:

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .segment import excerpt, is_content_word, is_counted_noun, span_keys, spans, with_morphemes
+from .segment import excerpt, is_content_word, is_counted_noun, rows_of, span_keys, spans, with_morphemes
 
 
 def span_rows(docs: DataFrame, keep: list[str], bridge: bool = True, **kw) -> DataFrame:
     """keep, chunk_no, span: one row per span of compound-forming morphemes."""
-    m = with_morphemes(docs, keep, **kw)
-    return m.select(*keep, "chunk_no", F.explode(spans(F.col("morphemes"), bridge)).alias("span"))
+    return spans(with_morphemes(docs, keep, **kw).select(*keep, "chunk_no", "morphemes"), bridge)
 
 
 def compound_rows(docs: DataFrame, keep: list[str], unknown: bool = False, **kw) -> DataFrame:
     """keep, key: one row per span and distinct key of it."""
-    return span_rows(docs, keep, **kw).select(*keep, F.explode(span_keys(F.col("span"), unknown)).alias("key"))
+    return rows_of(span_rows(docs, keep, **kw), keep, span_keys(F.col("span"), unknown), "key")
 
 
 def compound_counts(docs: DataFrame, by_document: bool = False, unknown: bool = False, id_col: str = "doc_id", **kw) -> DataFrame:
@@ -30,7 +29,8 @@ def compound_counts(docs: DataFrame, by_document: bool = False, unknown: bool =
 
 def component_counts(docs: DataFrame, by_document: bool = False, id_col: str = "doc_id", **kw) -> DataFrame:
     """part, cnt: surfaces of every morpheme in spans of two or more."""
-    rows = span_rows(docs, [id_col], **kw).where(F.size("span") >= 2).select(id_col, F.explode(F.transform("span", lambda m: m["surface"])).alias("part"))
+    spans_ = span_rows(docs, [id_col], **kw)
+    rows = rows_of(spans_, [id_col], F.when(F.size("span") >= 2, F.transform("span", lambda m: m["surface"])), "part")
     return (rows.distinct() if by_document else rows).groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -49,7 +49,7 @@ def noun_rows(docs: DataFrame, keep: list[str], **kw) -> DataFrame:
     items = F.transform(
         F.filter(F.sequence(F.lit(1), F.greatest(F.size(ms), F.lit(1))), lambda i: F.coalesce(is_counted_noun(F.try_element_at(ms, i)), F.lit(False))),
         lambda i: F.struct(F.element_at(ms, i)["norm"].alias("word"), (~joins(_neighbour(ms, i, True), "接頭辞") & ~joins(_neighbour(ms, i, False), "接尾辞")).alias("alone")))
-    return m.select(*keep, F.explode(items).alias("n")).select(*keep, "n.word", "n.alone")
+    return rows_of(m, keep, items, "n").select(*keep, "n.word", "n.alone")
 
 
 def noun_counts(docs: DataFrame, **kw) -> DataFrame:
@@ -70,7 +70,7 @@ def window_contexts(docs: DataFrame, targets: DataFrame, keep: list[str], around
         lambda i: F.struct(
             F.element_at(ms, i)["norm"].alias("word"),
             F.concat(norms(F.slice(ms, F.greatest(i - around, F.lit(1)), F.least(i - 1, F.lit(around)))), norms(F.slice(ms, i + 1, F.lit(around)))).alias("ctx")))
-    hits = m.select(*keep, F.explode(items).alias("n")).select(*keep, "n.word", "n.ctx")
+    hits = rows_of(m, keep, items, "n").select(*keep, "n.word", "n.ctx")
     hits = hits.join(targets.select("word").distinct(), "word", "left_semi")
     return hits.select(*keep, "word", F.explode("ctx").alias("context")).where("context <> word")
 
@@ -83,7 +83,7 @@ def cooccurrence(docs: DataFrame, targets: DataFrame, around: int = 5, **kw) ->
 def occurrences(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", around: int = 30, **kw) -> DataFrame:
     """id, chunk_no, start, word, excerpt of every occurrence of a target noun."""
     m = with_morphemes(docs, [id_col], **kw)
-    rows = m.select(id_col, "chunk_no", "chunk", F.explode(F.filter("morphemes", is_counted_noun)).alias("m"))
+    rows = rows_of(m, [id_col, "chunk_no", "chunk"], F.filter("morphemes", is_counted_noun), "m")
     hits = rows.select(id_col, "chunk_no", "chunk", F.col("m.start").alias("start"), F.col("m.norm").alias("word"), F.length("m.surface").alias("_n")).join(
         targets.select("word").distinct(), "word", "left_semi")
     return hits.select(id_col, "chunk_no", "start", "word", excerpt(F.col("chunk"), F.col("start"), F.col("_n"), around).alias("excerpt"))

@@ -104,7 +104,7 @@ def _folded(d: DataFrame, general_threshold: int, general_min_total: int | None
 
 def domain_bits(domain: Column) -> Column:
     """Aggregate: the set of domain codes as bits."""
-    return F.bit_or(F.shiftleft(F.lit(1), domain - 1))
+    return F.bit_or(F.call_function("shiftleft", F.lit(1), domain - 1))
 
 
 def topic_distribution(docs: DataFrame, words: DataFrame, id_col: str = "doc_id") -> DataFrame:

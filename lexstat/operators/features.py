@@ -30,8 +30,9 @@ def novelty(occurrences: DataFrame, keys: DataFrame, classes: DataFrame) -> Data
     wn = o.groupBy("word", "grp").agg(F.sum("own").alias("wn"))
     cn = o.groupBy("cls", "grp").agg(F.sum("own").alias("cn"))
     j = o.join(wf, ["word", "grp", "key"]).join(wn, ["word", "grp"])
-    j = j.join(cf, j["cls"].eqNullSafe(cf["cls"]) & (j["grp"] == cf["grp"]) & (j["key"] == cf["key"])).drop(cf["cls"], cf["grp"], cf["key"])
-    j = j.join(cn, j["cls"].eqNullSafe(cn["cls"]) & (j["grp"] == cn["grp"])).drop(cn["cls"], cn["grp"])
+    j = j.withColumn("_c", F.coalesce("cls", F.lit("")))  # words of no class form one
+    cf, cn = (x.withColumn("_c", F.coalesce("cls", F.lit(""))).drop("cls") for x in (cf, cn))
+    j = j.join(cf, ["_c", "grp", "key"]).join(cn, ["_c", "grp"])
     pc = (F.col("cf") - F.col("own") + 0.5) / (F.col("cn") - F.col("own") + 1)
     v = -F.log((F.col("wf") - F.col("own") + ALPHA * pc) / (F.col("wn") - F.col("own") + ALPHA))
     return j.withColumn("v", v).groupBy("occ_id", "grp").agg(

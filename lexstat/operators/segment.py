@@ -28,9 +28,17 @@ def chunks(text: Column) -> Column:
     return F.flatten(F.transform(second, lambda x: F.when(big(x), F.regexp_extract_all(x, F.lit("(?s).{1,2048}"), F.lit(0))).otherwise(F.array(x))))
 
 
+def rows_of(df: DataFrame, keep: list[str], items: Column, name: str) -> DataFrame:
+    """keep, name: one row per non-null item of an array; none for null and empty arrays.
+
+    An inner explode makes the optimizer repeat the array's expression in a filter before it; an outer one does not.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
+
+
 def with_morphemes(docs: DataFrame, keep: list[str], text: str = "text", provider=regex_morphemes) -> DataFrame:
     """keep, chunk_no, chunk, morphemes: one row per chunk of every text; null and empty texts have none."""
-    d = docs.select(*keep, F.posexplode(chunks(F.col(text))).alias("chunk_no", "chunk"))
+    d = docs.select(*keep, F.posexplode_outer(chunks(F.col(text))).alias("chunk_no", "chunk")).where("chunk is not null")
     return d.select(*keep, "chunk_no", "chunk", provider(F.col("chunk")).alias("morphemes"))
 
 
@@ -70,24 +78,29 @@ def _kanji_noun(m: Column) -> Column:
     return (m["pos0"] == "名詞") & m["surface"].rlike("[\\x{4e00}-\\x{9fff}]")
 
 
-def spans(morphemes: Column, bridge: bool = True) -> Column:
-    """Maximal runs of compound-forming morphemes that touch; with bridge, one plain space between a kanji noun and a
-    Latin noun with a capital or digit does not part them."""
-    keep = F.filter(morphemes, is_compound_part)
-    i = F.sequence(F.lit(0), F.size(keep) - 1)
-    at = lambda k: F.element_at(keep, k + 1)
-
-    def joined(k: Column) -> Column:
-        a, b = at(k - 1), at(k)
-        touch = a["end"] == b["start"]
-        if not bridge:
-            return touch
-        gap = (a["end"] + 1 == b["start"]) & F.exists(morphemes, lambda m: (m["start"] == a["end"]) & (m["surface"] == " "))
-        return touch | (gap & ((_kanji_noun(a) & _latin_noun(b)) | (_latin_noun(a) & _kanji_noun(b))))
-
-    starts = F.filter(i, lambda k: F.when(k == 0, True).otherwise(~joined(k)))
-    cut = F.zip_with(starts, F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(keep))), lambda a, b: F.slice(keep, a + 1, b - a))
-    return F.when(F.size(keep) > 0, cut).otherwise(F.array().cast(f"array<{'array<struct<surface:string,norm:string,pos0:string,pos1:string,start:int,end:int,known:boolean>>'}>"))
+def spans(df: DataFrame, bridge: bool = True) -> DataFrame:
+    """The rows of df (with a column morphemes) once per span: a maximal run of compound-forming morphemes that touch.
+
+    With bridge, one plain space between a kanji noun and a Latin noun with a capital or digit does not part them. The
+    steps are columns of their own, as an expression inside a lambda is evaluated anew for every element.
+    """
+    at = lambda k: F.element_at("_parts", k)
+    a, b = (lambda k: at(k - 1)), at
+    parted = lambda k: a(k)["end"] != b(k)["start"]
+    if bridge:
+        gap = lambda k: (a(k)["end"] + 1 == b(k)["start"]) & F.array_contains("_spaces", a(k)["end"])
+        kind = lambda k: (_kanji_noun(a(k)) & _latin_noun(b(k))) | (_latin_noun(a(k)) & _kanji_noun(b(k)))
+        cut = lambda k: parted(k) & ~(gap(k) & kind(k))
+    else:
+        cut = parted
+    keep = [c for c in df.columns if c != "morphemes"]
+    spaces = [F.transform(F.filter("morphemes", lambda m: m["surface"] == " "), lambda m: m["start"]).alias("_spaces")] if bridge else []
+    d = df.select(*keep, F.filter("morphemes", is_compound_part).alias("_parts"), *spaces)
+    first = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_parts"), F.lit(1))), lambda k: F.when(k == 1, F.size("_parts") > 0).otherwise(cut(k)))
+    d = d.select(*keep, "_parts", first.alias("_starts"))
+    ends = F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts"), F.lit(1))), F.array(F.size("_parts") + 1))
+    d = rows_of(d, [*keep, "_parts"], F.when(F.size("_starts") > 0, F.zip_with("_starts", ends, lambda i, j: F.struct(i.alias("i"), (j - i).alias("n")))), "_s")
+    return d.select(*keep, F.slice("_parts", F.col("_s.i"), F.col("_s.n")).alias("span"))
 
 
 def _joined(ms: Column, part: str) -> Column:

@@ -63,3 +63,13 @@ def staged(df: DataFrame) -> DataFrame:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df with at least as many partitions as the cluster has cores, for work that is heavy per row.
+
+    A text file or row group is one partition whatever its rows cost; where there are fewer of them than cores, the rows
+    are hashed out by the keys. Otherwise df comes back as it is.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= want else df.repartition(want, *keys)
