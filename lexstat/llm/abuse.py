@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import folded
+from ..session import spread
 
 CATEGORIES = ("abusive", "hateful", "sexual")
 WINDOW, STRIDE = 36, 30
@@ -353,7 +354,7 @@ def scores(documents: DataFrame, labels: DataFrame, **sample: int) -> DataFrame:
     means anything, though all stay defined. Repeated documents come out as often as they are given.
     """
     model = train(*training_sample(documents, labels, **sample))
-    d = documents.where("doc_id is not null").select("doc_id", "text")
+    d = spread(documents.where("doc_id is not null").select("doc_id", "text"), "doc_id")
     return d.mapInArrow(_score(model.p), "doc_id bigint, " + ", ".join(f"{c} double" for c in CATEGORIES))
 
 

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 GRAM = 4
 WINDOW = 15
 STEP = 4
@@ -209,7 +211,7 @@ def leaks(documents: DataFrame, items: DataFrame, cut: float = 0.5) -> DataFrame
     nothing. Null texts and ids are left out; repeated documents come out as often as they are given; an item_id given
     with several texts counts by the best of them. An empty table gives no rows.
     """
-    d = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    d = spread(documents.where("doc_id is not null and text is not null").select("doc_id", "text"), "doc_id")
     found = None
     for block in _item_blocks(items):
         part = d.mapInArrow(_search(block, cut), "doc_id bigint, item_id bigint, similarity double")

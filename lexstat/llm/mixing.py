@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import folded
-from ..session import staged
+from ..session import spread, staged
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how the rank files' tokenizers split a text before merging.
@@ -64,7 +64,7 @@ def _count(path: str):
 def token_sizes(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, source (spellings made one; null stays null), tokens; null and empty texts have 0."""
     d = documents.where("doc_id is not null").select("doc_id", folded(F.col("source")).alias("source"), "text")
-    return d.mapInArrow(_count(tokenizer), "doc_id bigint, source string, tokens bigint")
+    return spread(d, "doc_id").mapInArrow(_count(tokenizer), "doc_id bigint, source string, tokens bigint")
 
 
 def allot(targets: list[tuple[str, float, int | None]], held: dict[str, int], total: float) -> dict[str, float]:
