@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .segment import excerpt, is_content_word, is_counted_noun, rows_of, span_keys, spans, with_morphemes
+from ..morph import regex_morphemes
+from .segment import excerpt, is_content_word, is_counted_noun, rows_of, span_keys, span_surfaces, spans, surface_keys, with_morphemes
 
 
 def span_rows(docs: DataFrame, keep: list[str], bridge: bool = True, **kw) -> DataFrame:
@@ -13,9 +14,18 @@ def span_rows(docs: DataFrame, keep: list[str], bridge: bool = True, **kw) -> Da
     return spans(with_morphemes(docs, keep, **kw).select(*keep, "chunk_no", "morphemes"), bridge)
 
 
-def compound_rows(docs: DataFrame, keep: list[str], unknown: bool = False, **kw) -> DataFrame:
+def surface_rows(docs: DataFrame, keep: list[str], bridge: bool = True, text: str = "text", provider=regex_morphemes) -> DataFrame:
+    """keep, surfaces: one row per span."""
+    if provider is regex_morphemes:
+        return rows_of(docs, keep, span_surfaces(F.col(text), bridge), "surfaces")
+    return span_rows(docs, keep, bridge, text=text, provider=provider).select(*keep, F.transform("span", lambda m: m["surface"]).alias("surfaces"))
+
+
+def compound_rows(docs: DataFrame, keep: list[str], unknown: bool = False, bridge: bool = True, text: str = "text", provider=regex_morphemes) -> DataFrame:
     """keep, key: one row per span and distinct key of it."""
-    return rows_of(span_rows(docs, keep, **kw), keep, span_keys(F.col("span"), unknown), "key")
+    if provider is regex_morphemes and not unknown:
+        return rows_of(surface_rows(docs, keep, bridge, text), keep, surface_keys(F.col("surfaces")), "key")
+    return rows_of(span_rows(docs, keep, bridge, text=text, provider=provider), keep, span_keys(F.col("span"), unknown), "key")
 
 
 def compound_counts(docs: DataFrame, by_document: bool = False, unknown: bool = False, id_col: str = "doc_id", **kw) -> DataFrame:
@@ -29,26 +39,19 @@ def compound_counts(docs: DataFrame, by_document: bool = False, unknown: bool =
 
 def component_counts(docs: DataFrame, by_document: bool = False, id_col: str = "doc_id", **kw) -> DataFrame:
     """part, cnt: surfaces of every morpheme in spans of two or more."""
-    spans_ = span_rows(docs, [id_col], **kw)
-    rows = rows_of(spans_, [id_col], F.when(F.size("span") >= 2, F.transform("span", lambda m: m["surface"])), "part")
+    rows = rows_of(surface_rows(docs, [id_col], **kw), [id_col], F.when(F.size("surfaces") >= 2, F.col("surfaces")), "part")
     return (rows.distinct() if by_document else rows).groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _neighbour(ms: Column, i: Column, back: bool) -> Column:
-    """The nearest morpheme that is no space before (or after) place i (1-based)."""
-    side = F.slice(ms, F.lit(1), i - 1) if back else F.slice(ms, i + 1, F.size(ms))
-    solid = F.filter(side, lambda m: m["pos0"] != "空白")
-    return F.try_element_at(solid, F.lit(-1 if back else 1))
-
-
 def noun_rows(docs: DataFrame, keep: list[str], **kw) -> DataFrame:
     """keep, word, alone: every counted noun; alone if no noun, adjectival noun or affix stands next to it (spaces passed over)."""
-    m = with_morphemes(docs, keep, **kw)
-    ms = F.col("morphemes")
+    m = with_morphemes(docs, keep, **kw).select(*keep, F.filter("morphemes", lambda m: m["pos0"] != "空白").alias("_solid"))
+    ms = F.col("_solid")
     joins = lambda x, affix: F.coalesce(x["pos0"].isin("名詞", "形状詞", affix), F.lit(False))
+    before = lambda i: (i > 1) & joins(F.try_element_at(ms, F.when(i > 1, i - 1).otherwise(1)), "接頭辞")
     items = F.transform(
         F.filter(F.sequence(F.lit(1), F.greatest(F.size(ms), F.lit(1))), lambda i: F.coalesce(is_counted_noun(F.try_element_at(ms, i)), F.lit(False))),
-        lambda i: F.struct(F.element_at(ms, i)["norm"].alias("word"), (~joins(_neighbour(ms, i, True), "接頭辞") & ~joins(_neighbour(ms, i, False), "接尾辞")).alias("alone")))
+        lambda i: F.struct(F.element_at(ms, i)["norm"].alias("word"), (~before(i) & ~joins(F.try_element_at(ms, i + 1), "接尾辞")).alias("alone")))
     return rows_of(m, keep, items, "n").select(*keep, "n.word", "n.alone")
 
 

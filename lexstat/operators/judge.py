@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..morph import regex_morphemes
+from ..session import staged
 from .domains import GENERAL
 from .segment import is_whole_span
 
@@ -38,6 +39,7 @@ def judged(
     b = buckets.groupBy("key").agg(F.max("bucket").alias("bucket"))
     w = w.join(b.select(F.col("key").alias("word"), F.col("bucket").alias("b1")), "word", "left")
     w = w.join(b.select(F.col("key").alias("norm"), F.col("bucket").alias("b2")), "norm", "left").withColumn("bucket", F.coalesce("b1", "b2"))
+    w = staged(w)  # the lookups below all start from it
     cand = w.where("candidate")
 
     ratio = (

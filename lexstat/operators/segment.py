@@ -130,6 +130,38 @@ def span_keys(span: Column, unknown: bool = False) -> Column:
     return F.array_distinct(F.concat(_whole_and_pairs(span, unknown), F.when(latin, inner).otherwise(F.array().cast("array<string>"))))
 
 
+_SPAN = "[A-Za-zァ-ヶー一-龥々]+"
+_PART = "[A-Za-z]+|[ァ-ヶー]+|[一-龥々]{1,2}"
+_BRIDGE = r" (?=[一-龥々])(?<=[A-Z][A-Za-z]{0,40} )| (?=[a-z]*[A-Z])(?<=[一-龥々] )"
+
+
+def span_surfaces(text: Column, bridge: bool = True) -> Column:
+    """Spans of a whole text as arrays of surfaces: what spans() gives of regex_morphemes(), found by pattern alone.
+
+    Chunks play no part, as their edges lie outside spans, unless a chunk had to be cut to size inside one.
+    """
+    pattern = f"{_SPAN}(?:(?:{_BRIDGE}){_SPAN})*" if bridge else _SPAN
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda s: F.regexp_extract_all(s, F.lit(_PART), F.lit(0)))
+
+
+def surface_keys(surfaces: Column) -> Column:
+    """span_keys() of a span given by its surfaces, whose norms are their lower case."""
+    none = F.array().cast("array<string>")
+
+    def keys(a: Column) -> Column:
+        n = F.size(a)
+        whole = F.when(n.between(2, LONGEST), F.array(F.array_join(a, ""))).otherwise(none)
+        pairs = F.when(n >= 3, F.zip_with(F.slice(a, 1, F.greatest(n - 1, F.lit(0))), F.slice(a, 2, F.greatest(n - 1, F.lit(0))), lambda x, y: F.concat(x, y))).otherwise(none)
+        return F.concat(whole, pairs)
+
+    latin = lambda x: x.rlike("^[A-Za-z]")
+    i = F.filter(F.sequence(F.lit(1), F.greatest(F.size(surfaces), F.lit(1))), lambda k: latin(F.try_element_at(surfaces, k)))
+    edges = F.concat(F.array(F.lit(0)), i, F.array(F.size(surfaces) + 1))
+    inner = F.flatten(F.zip_with(F.slice(edges, 1, F.size(edges) - 1), F.slice(edges, 2, F.size(edges) - 1), lambda a, b: keys(F.slice(surfaces, a + 1, F.greatest(b - a - 1, F.lit(0))))))
+    surface = F.concat(keys(surfaces), F.when(F.exists(surfaces, latin), inner).otherwise(none))
+    return F.array_distinct(F.concat(surface, F.transform(surface, F.lower)))
+
+
 def is_whole_span(morphemes: Column, unknown: bool = False) -> Column:
     """Whether a word is one compound of 2 to 5 touching morphemes (or a single unknown word, if wanted)."""
     n = F.size(morphemes)

@@ -84,7 +84,7 @@ def component_counts(s: SparkSession, d: str) -> DataFrame:
 m AS (SELECT doc_id, len(regexp_extract_all(s, '{_MORPH}')) AS n FROM sp)
 SELECT doc_id, count(*) AS spans, sum(n)::BIGINT AS morphemes, max(n)::INT AS longest FROM m GROUP BY doc_id""")
 def span_islands(s: SparkSession, d: str) -> DataFrame:
-    r = counts.span_rows(_texts(s, d), ["doc_id"], bridge=False).select("doc_id", F.size("span").alias("n"))
+    r = counts.surface_rows(_texts(s, d), ["doc_id"], bridge=False).select("doc_id", F.size("surfaces").alias("n"))
     return r.groupBy("doc_id").agg(F.count(F.lit(1)).alias("spans"), F.sum("n").alias("morphemes"), F.max("n").alias("longest"))
 
 
