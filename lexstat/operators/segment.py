@@ -75,7 +75,7 @@ def _latin_noun(m: Column) -> Column:
 
 
 def _kanji_noun(m: Column) -> Column:
-    return (m["pos0"] == "名詞") & m["surface"].rlike("[\\x{4e00}-\\x{9fff}]")
+    return (m["pos0"] == "名詞") & m["surface"].rlike("[一-鿿々]")
 
 
 def spans(df: DataFrame, bridge: bool = True) -> DataFrame:

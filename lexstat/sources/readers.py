@@ -145,10 +145,12 @@ def headwords(entries: DataFrame, pos_prefixes: list[str], priority_only: bool =
     """word: of entries with a wanted part of speech that is no expression, Japanese only and not too long: the first
     spelling, else the first reading. Entries all of whose senses are archaic or names are left out."""
     def wanted(s):
-        hit = F.lit(False)
-        for p in pos_prefixes:
-            hit = hit | F.exists(s["pos"], lambda x, p=p: x.startswith(p))
-        return hit & ~F.array_contains(s["pos"], F.lit("exp"))
+        def starts(x):
+            hit = F.lit(False)
+            for p in pos_prefixes:
+                hit = hit | x.startswith(p)
+            return hit
+        return F.exists(s["pos"], starts) & ~F.array_contains(s["pos"], F.lit("exp"))
     stale = lambda s: F.exists(s["misc"], lambda m: m.isin("arch", "obs", "rare", "given", "surname", "place", "person"))
     d = entries.where(F.exists("senses", wanted) & ~F.forall("senses", stale))
     d = d.where(F.size("pris") > 0) if priority_only else d
