@@ -32,7 +32,7 @@ KEEP = 3
 
 _TOKEN = re.compile(
     r"[a-z]+(?:'[a-z]+)?|[0-9]+|[ぁ-ゖ]+|[ァ-ヺー]+|[㐀-鿿々]+|[ऀ-ॿ]+|[؀-ۿ]+|[฀-๿]{1,6}|[^\W\d_]+|[「」『』\"“”«»„()!?]")
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][.\-_*・·~ ]){3,}[^\W\d_](?![^\W_])")
+_SPACED = re.compile(r"(?<![^\W_])[^\W\d_]([.\-_*・·~ ])(?:[^\W\d_]\1){2,}[^\W\d_](?![^\W_])")
 _INSIDE = re.compile(r"(?<=[ぁ-ヺー㐀-鿿])[.・·*_\-~|](?=[ぁ-ゖ])")
 _MARKS = re.compile(r"[.\-_*・·~ ]")
 _RUN = re.compile(r"(.)\1{2,}")
@@ -237,7 +237,7 @@ def train(texts: list[str], target: np.ndarray, spare: list[str] | None = None,
     rows = [np.array([vocab.setdefault(t, len(vocab)) for t in tokens(x)], dtype=np.int64) for x in texts]
     has = np.array([len(x) > 0 for x in rows], dtype=bool)
     feats = [features(t) for t in vocab]
-    if not has.any():
+    if not has[:labelled].any():
         return model
     seen = np.zeros((len(vocab), 3), np.float32)
     count = np.zeros(len(vocab), np.float32)
@@ -246,7 +246,7 @@ def train(texts: list[str], target: np.ndarray, spare: list[str] | None = None,
         seen[u] += target[d]
         count[u] += 1
     base = target.sum(0) / max(labelled, 1)
-    odds = np.log((seen + base) / (base + 1e-6) * (1 - base + 1e-6) / (count[:, None] - seen + 1 - base))
+    odds = np.log((seen + base + 1e-6) / (base + 1e-6) * (1 - base + 1e-6) / (count[:, None] - seen + 1 - base + 1e-6))
     model.p["word"][[w for w, _ in feats], :3] = np.clip(odds, -2, 4) / 2
     every, owner = _windows([x + 1 for x in rows])
     adam = _Adam(model.p)

@@ -5,8 +5,9 @@ its class is present or absent. Of each candidate an annotator's report is one o
 category), below or above (did not, but gave the category one lower or higher) and miss. Class proportions per
 category and every annotator's row of symbol probabilities per class carry Dirichlet priors; their variational
 posteriors are updated through digamma expectations of group-by sums, in turn with the candidates' class
-probabilities. Annotators that repeat each other's errors share their weight: the weight of each is one over one
-plus the summed error overlaps, taken from the sums of error pairs over all candidates.
+probabilities. Annotators that copy each other share their weight. Independent annotators agree no more than their
+reliabilities explain, which are got from how each agrees with pairs of others; the weight of each is one over one
+plus its summed excess agreement.
 
 The candidates stay distributed; only sums whose size is annotators squared leave the executors.
 """
@@ -72,7 +73,7 @@ def candidates(lines: DataFrame, names: list[str]) -> DataFrame:
     Where an annotator did not judge the word its four shares are 0. Several passes of one annotator are one vote.
     """
     by_model = lines.groupBy("word", "model").agg(F.collect_list("cats").alias("passes"))
-    idx = F.create_map(*[x for i, m in enumerate(names) for x in (F.lit(m), F.lit(i))]) if names else F.create_map()
+    idx = F.create_map(*[x for i, m in enumerate(names) for x in (F.lit(m), F.lit(i))]) if names else F.create_map().cast("map<string,int>")
     words = by_model.select("word", F.struct(idx[F.col("model")].alias("m"), F.col("passes")).alias("j")).groupBy("word").agg(
         F.array_sort(F.collect_list("j")).alias("judged"))
     return words.mapInArrow(_expander(len(names)), "word string, category int, votes array<float>, n_models int")
@@ -135,47 +136,77 @@ def _read(b: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
     return flat, b.column(b.schema.get_field_index("category")).to_numpy(zero_copy_only=False)
 
 
-def _sums(n: int, k: int, ratio: np.ndarray | None, prior: np.ndarray | None):
-    """Partial sums of a task: class sums, symbol sums per annotator and class, error sums per annotator pair."""
+def _agreement(n: int):
+    """Partial sums of a task: reports that two annotators share, and those of one on candidates that the other judged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, classes, errors = np.zeros((n, 2, 4)), np.zeros((k, 2)), np.zeros((n, n, 2))
+        both, own = np.zeros((n, n)), np.zeros((n, n))
+        for b in batches:
+            v, _ = _read(b, n)
+            hit, judged = v[:, :, 0].astype(float), (v.sum(2) > 0).astype(float)
+            both += hit.T @ hit
+            own += hit.T @ judged
+        flat = np.concatenate([both.ravel(), own.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int64)), pa.array(flat)], names=["i", "x"])
+    return run
+
+
+def _sums(n: int, k: int, weight: np.ndarray, ratio: np.ndarray | None, prior: np.ndarray | None):
+    """Partial sums of a task: symbol sums per annotator and class, class sums per category."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, classes = np.zeros((n, 2, 4)), np.zeros((k, 2))
         for b in batches:
             v, cats = _read(b, n)
-            judged = v.sum(2) > 0
-            if ratio is None:  # at first, the share of annotators that gave the category
-                q = v[:, :, 0].sum(1) / np.maximum(judged.sum(1), 1)
+            if ratio is None:  # at first, the weighted share of annotators that gave the category
+                q = v[:, :, 0] @ weight / np.maximum((v.sum(2) > 0) @ weight, 1e-9)
             else:
                 q = _present(v, cats, ratio, prior)
             rows[:, 1] += np.einsum("u,unv->nv", q, v)
             rows[:, 0] += np.einsum("u,unv->nv", 1 - q, v)
             np.add.at(classes[:, 1], cats, q)
             np.add.at(classes[:, 0], cats, 1 - q)
-            hit = v[:, :, 0] * (1 - q)[:, None]
-            errors[:, :, 0] += v[:, :, 0].T @ hit
-            errors[:, :, 1] += judged.T.astype(float) @ hit
-        flat = np.concatenate([rows.ravel(), classes.ravel(), errors.ravel()])
+        flat = np.concatenate([rows.ravel(), classes.ravel()])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int64)), pa.array(flat)], names=["i", "x"])
     return run
 
 
+def _collected(cands: DataFrame, part, size: int) -> np.ndarray:
+    sums = np.zeros(size)
+    for i, x in cands.select("category", "votes").mapInArrow(part, "i bigint, x double").groupBy("i").agg(F.sum("x")).collect():
+        sums[i] = x
+    return sums
+
+
+def independence(both: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Weights of annotators from the sums of _agreement().
+
+    a[i, j], the share of reports in common, is near r[i] * r[j] for independent annotators, so a[i, j] * a[i, k] /
+    a[j, k] is near r[i] squared; the median over all j, k holds while fewer than half of the pairs hold a copy of i.
+    """
+    n = len(both)
+    a = (both + 1) / np.sqrt((own + 2) * (own.T + 2))
+    np.fill_diagonal(a, np.nan)
+    if n < 3:
+        return np.ones(n)
+    r = np.empty(n)
+    for i in range(n):
+        o = [j for j in range(n) if j != i]
+        t = np.array([a[i, j] * a[i, k] / a[j, k] for x, j in enumerate(o) for k in o[x + 1 :]])
+        r[i] = np.sqrt(np.clip(np.median(t), 1e-6, 1))
+    fair = np.outer(r, r)
+    excess = np.nan_to_num(np.clip((a - fair) / np.maximum(1 - fair, 1e-6), 0, 1))
+    return 1 / (1 + np.clip((excess - 0.4) / 0.3, 0, 1).sum(1))
+
+
 def fit(cands: DataFrame, names: list[str], iterations: int = 12) -> State:
     """Coordinate ascent; each iteration is one pass of group-by sums over the candidates."""
     n, k = len(names), SCHEME[-1][1] + 1
+    weight = independence(*_collected(cands, _agreement(n), 2 * n * n).reshape(2, n, n))
     state, ratio, prior = None, None, None
     for _ in range(iterations):
-        sums = np.zeros(n * 8 + k * 2 + n * n * 2)
-        part = cands.select("category", "votes").mapInArrow(_sums(n, k, ratio, prior), "i bigint, x double")
-        for i, x in part.groupBy("i").agg(F.sum("x")).collect():
-            sums[i] = x
-        rows, classes = sums[: n * 8].reshape(n, 2, 4), sums[n * 8 : n * 8 + k * 2].reshape(k, 2)
-        both, seen = np.moveaxis(sums[n * 8 + k * 2 :].reshape(n, n, 2), 2, 0)
-        # overlap[a, b]: of b's errors on candidates that a judged, the share that a made too; less what good
-        # annotators share by chance
-        overlap = np.clip(both / np.maximum(seen, 1e-9), 0, 1)
-        overlap = np.clip((np.minimum(overlap, overlap.T) - 0.3) / 0.4, 0, 1)
-        np.fill_diagonal(overlap, 0)
-        state = State(rows + PRIOR_ROWS, classes + PRIOR_CLASS, 1 / (1 + overlap.sum(1)))
+        sums = _collected(cands, _sums(n, k, weight, ratio, prior), n * 8 + k * 2)
+        state = State(sums[: n * 8].reshape(n, 2, 4) + PRIOR_ROWS, sums[n * 8 :].reshape(k, 2) + PRIOR_CLASS, weight)
         ratio, prior = state.expectations()
     return state
 

@@ -47,7 +47,7 @@ _FORMS = [
     ("texttt", "code", "span", r"\\texttt\{(?P<t>(?:[^{}]|\{[^{}]*\})*)\}", 0),
     ("mathrst", "formula", "block", r"^\.\. math::[^\n]*(?P<t>(?:\n[ \t]*)*(?:\n[ \t]+\S[^\n]*)*)", _M),
     ("coderst", "code", "block", r"^\.\. (?:code-block|sourcecode|code|highlight|literalinclude|parsed-literal)::[^\n]*(?P<t>(?:\n[ \t]*:[^\n]*)*(?:\n(?:[ \t]*|[ \t]+\S[^\n]*))*)", _M),
-    ("literal", "code", "block", r"(?<![:\w]):?:\n[ \t]*\n(?P<t>(?:[ \t]+\S[^\n]*(?:\n|\Z))+)", 0),
+    ("literal", "code", "block", r"(?<!:)::\n[ \t]*\n(?P<t>(?:[ \t]+\S[^\n]*(?:\n|\Z))+)", 0),
     ("directive", "inline", "block", r"^\.\. (?:[\w-]+::|_[^:\n]+:|\[[^\]\n]+\]|\|[^|\n]+\|)(?P<t>[^\n]*)", _M),
     ("mathrole", "formula", "span", r":math:`(?P<t>[^`\n]+)`", 0),
     ("mathtag", "formula", "span", r"<(?P<g>math|chem)\b[^<>]*>(?P<t>.*?)</(?P=g)>", _S),
@@ -85,7 +85,7 @@ _FORMS = [
     ("rstlink", "inline", "span", r"`(?P<t>[^`\n<>]+?)(?:\s*<[^<>\n]+>)?`__?(?!\w)", 0),
     ("rstref", "inline", "span", r"\[(?P<t>#?[\w*#-]+)\]_(?!\w)", 0),
     ("tick", "code", "span", r"(?<![`\w])`(?P<t>[^`\s](?:[^`\n]*[^`\s])?)`(?![`\w])", 0),
-    ("texcmd", "inline", "span", r"~?\\(?:textbf|textit|textsc|textsf|textrm|textsl|textsuperscript|underline|emph|url|cite[pt]?\*?|footnote|ref|eqref|pageref|label|index|mbox|caption|title|author)(?:\[[^\]\n]*\])*\{(?P<t>(?:[^{}]|\{[^{}]*\})*)\}", 0),
+    ("texcmd", "inline", "span", r"(?:(?<!\})(?=\\label)|(?!\\label))~?\\(?:textbf|textit|textsc|textsf|textrm|textsl|textsuperscript|underline|emph|url|cite[pt]?\*?|footnote|ref|eqref|pageref|label|index|mbox|caption|title|author)(?:\[[^\]\n]*\])*\{(?P<t>(?:[^{}]|\{[^{}]*\})*)\}", 0),
     ("texhref", "inline", "span", r"\\(?:href|textcolor|hyperref)(?:\{[^{}]*\}|\[[^\]\n]*\])\{(?P<t>(?:[^{}]|\{[^{}]*\})*)\}", 0),
     ("texgroup", "inline", "span", r"\{\\(?:it|bf|em|sc|sf|tt|sl|rm|itshape|bfseries|large|small|footnotesize)\s+(?P<t>[^{}]*)\}", 0),
     ("texenv", "inline", "block", r"\\(?:begin|end)\{(?:quote|quotation|center|figure|table|tabular|abstract|document)\*?\}", 0),
