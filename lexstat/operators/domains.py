@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,14 +110,59 @@ def domain_bits(domain: Column) -> Column:
     return F.bit_or(F.call_function("shiftleft", F.lit(1), domain - 1))
 
 
+#: Words whose automaton is shipped to the tasks at once.
+WORD_BLOCK = 200_000
+
+
+def _blocks(words: DataFrame) -> Iterator[list[str]]:
+    block: list[str] = []
+    for r in words.toLocalIterator():
+        block.append(r[0])
+        if len(block) == WORD_BLOCK:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def word_hits(docs: DataFrame, words: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """id, word: which of the words each text holds, overlapping hits included, each word once a text.
+
+    The words are a stated set: blocks of WORD_BLOCK of them become an automaton that reads every text once. words: word,
+    distinct and not empty. Null texts hold nothing.
+    """
+    texts = docs.where("text is not null").select(id_col, "text")
+    kind = docs.schema[id_col].dataType.simpleString()
+    found = docs.sparkSession.createDataFrame([], f"`{id_col}` {kind}, word string")
+    for block in _blocks(words):
+        found = found.unionByName(texts.mapInArrow(_automaton(block, id_col), f"`{id_col}` {kind}, word string"))
+    return found
+
+
+def _automaton(block: list[str], id_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+        a = ahocorasick.Automaton()
+        for w in block:
+            a.add_word(w, w)
+        a.make_automaton()
+        for b in batches:
+            at, out = [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                hits = {w for _, w in a.iter(t)}
+                at += [i] * len(hits)
+                out += hits
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(out, pa.string())], names=[id_col, "word"])
+    return run
+
+
 def topic_distribution(docs: DataFrame, words: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """word, articles, one column per domain, it_share: articles whose text holds the word, by domain.
 
-    docs: id, text, domains; words: word. The words are a stated set against all texts; matching is by substring, each
-    article counts once a word. it_share has four digits, null where no article holds the word.
+    docs: id (unique), text, domains; words: word. it_share has four digits, null where no article holds the word.
     """
     w = words.where("word is not null and word <> ''").select("word").distinct()
-    hits = docs.where("text is not null").join(F.broadcast(w), F.col("text").contains(F.col("word"))).select(id_col, "word", "domains").dropDuplicates([id_col, "word"])
+    hits = word_hits(docs, w, id_col).join(docs.select(id_col, "domains"), id_col)
     agg = hits.groupBy("word").agg(
         F.count(F.lit(1)).alias("articles"), *[F.count_if(F.array_contains("domains", F.lit(c))).alias(f"d{c}") for c in (1, 2, 4, 5, 6)])
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)

@@ -42,11 +42,12 @@ def finalized(passes: DataFrame, keys: list[str]) -> DataFrame:
     passes gave the same set. dropped: given but not kept.
     """
     d = passes.where("categories is not null").withColumn("categories", F.array_sort(F.array_distinct("categories")))
-    g = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("votes"), F.collect_list("categories").alias("sets"))
-    every = F.array_sort(F.array_distinct(F.flatten("sets")))
-    enough = lambda c: F.size(F.filter("sets", lambda s: F.array_contains(s, c))) >= 2
-    kept = F.when(F.col("votes") == 1, F.element_at("sets", 1)).otherwise(F.filter(every, enough))
-    g = g.withColumn("categories", kept).withColumn("unanimous", F.size(F.array_distinct("sets")) == 1)
+    per = d.groupBy(*keys, "categories").agg(F.count(F.lit(1)).alias("_c"))  # however many passes, only distinct sets are collected
+    g = per.groupBy(*keys).agg(F.sum("_c").alias("votes"), F.collect_list(F.struct("categories", "_c")).alias("sets"))
+    every = F.array_sort(F.array_distinct(F.flatten("sets.categories")))
+    given = lambda c: F.aggregate(F.filter("sets", lambda s: F.array_contains(s["categories"], c)), F.lit(0).cast("bigint"), lambda n, s: n + s["_c"])
+    kept = F.when(F.col("votes") == 1, F.element_at("sets", 1)["categories"]).otherwise(F.filter(every, lambda c: given(c) >= 2))
+    g = g.withColumn("categories", kept).withColumn("unanimous", F.size("sets") == 1)
     rule = F.when(F.col("votes") == 1, "single-vote").when((F.size("categories") > 0) | F.col("unanimous"), "majority").otherwise("unstable")
     return g.select(*keys, "votes", rule.alias("rule"), "unanimous", "categories", F.array_except(every, F.col("categories")).alias("dropped"))
 

@@ -552,34 +552,37 @@ def _profiles(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("WITH" + _PROF + """,
-dt AS (SELECT a.word AS word_a, b.word AS word_b, sum(a.n * b.n) AS dot FROM pf a JOIN pf b USING (context) WHERE a.word <> b.word AND regexp_matches(a.word, '^[ァ-ヶー]+$') AND NOT regexp_matches(b.word, '^[ァ-ヶー]+$') GROUP BY 1, 2)
+qs AS (SELECT word FROM oc GROUP BY word HAVING min(occ_id) % 20 = 0),
+dt AS (SELECT a.word AS word_a, b.word AS word_b, sum(a.n * b.n) AS dot FROM pf a JOIN pf b USING (context) WHERE a.word <> b.word AND a.word IN (SELECT word FROM qs) GROUP BY 1, 2)
 SELECT word_a, word_b, round(dot / (x.l * y.l), 9) AS cosine FROM dt JOIN nm x ON x.word = word_a JOIN nm y ON y.word = word_b""")
 def profile_cosine(s: SparkSession, d: str) -> DataFrame:
+    """Words whose first occurrence has an id divisible by 20, as queries, against all words."""
+    o = _occ(s, d)
     p = _profiles(s, d)
-    kata = F.col("word").rlike("^[ァ-ヶー]+$")
-    return substitution.cosines(p.where(kata), p.where(~kata))
+    asked = o.groupBy("word").agg((F.min("occ_id") % 20).alias("m")).where("m = 0").select("word")
+    return substitution.cosines(p.join(asked, "word", "left_semi"), p)
 
 
 @query("WITH" + _PROF + """,
-gp AS (SELECT DISTINCT left(word, 1) AS word, word AS loanword FROM pf),
+gp AS (SELECT DISTINCT left(word, 2) AS word, word AS loanword FROM pf),
 pp AS (SELECT a.word, a.loanword AS loan_a, b.loanword AS loan_b FROM gp a JOIN gp b ON a.word = b.word AND a.loanword < b.loanword),
 dt AS (SELECT pp.word, loan_a, loan_b, sum(x.n * y.n) AS dot FROM pp JOIN pf x ON x.word = loan_a JOIN pf y ON y.word = loan_b AND x.context = y.context GROUP BY 1, 2, 3),
 cs AS (SELECT pp.*, round(coalesce(dot, 0) / (a.l * b.l), 9) AS cosine FROM pp LEFT JOIN dt USING (word, loan_a, loan_b) JOIN nm a ON a.word = loan_a JOIN nm b ON b.word = loan_b)
 SELECT word, loan_a, loan_b, cosine FROM cs QUALIFY row_number() OVER (PARTITION BY word ORDER BY cosine, loan_a, loan_b) = 1 AND cosine <= 0.15""")
 def split_senses(s: SparkSession, d: str) -> DataFrame:
     p = _profiles(s, d)
-    return substitution.split_senses(p.select(F.substring("word", 1, 1).alias("word"), F.col("word").alias("loanword")), p)
+    return substitution.split_senses(p.select(F.substring("word", 1, 2).alias("word"), F.col("word").alias("loanword")), p)
 
 
 @query("WITH" + _PROF + """,
-sn AS (SELECT DISTINCT left(word, 1) AS g, word AS sense FROM oc), tt AS (SELECT word AS sense, sum(n) AS total FROM pf GROUP BY 1), vv AS (SELECT count(DISTINCT context) AS v FROM pf),
-ex AS (SELECT occ_id, left(word, 1) AS word, unnest(context) AS context FROM oc),
+sn AS (SELECT DISTINCT left(word, 2) AS g, word AS sense FROM oc), tt AS (SELECT word AS sense, sum(n) AS total FROM pf GROUP BY 1), vv AS (SELECT count(DISTINCT context) AS v FROM pf),
+ex AS (SELECT occ_id, left(word, 2) AS word, unnest(context) AS context FROM oc),
 ft AS (SELECT occ_id, ex.word, sn.sense, round(avg(ln((coalesce(n, 0) + 0.5) / (coalesce(total, 0) + 0.5 * v)::DOUBLE)), 6) AS fit FROM ex JOIN sn ON sn.g = ex.word LEFT JOIN pf ON pf.word = sn.sense AND pf.context = ex.context
        LEFT JOIN tt ON tt.sense = sn.sense, vv WHERE ex.context IS NOT NULL GROUP BY 1, 2, 3)
 SELECT occ_id, word, sense, fit FROM ft QUALIFY row_number() OVER (PARTITION BY occ_id, word ORDER BY fit DESC, sense) = 1""")
 def sense_judge(s: SparkSession, d: str) -> DataFrame:
     o = _occ(s, d)
-    first = F.substring("word", 1, 1).alias("word")
+    first = F.substring("word", 1, 2).alias("word")
     return substitution.sense_fit(o.select("occ_id", first, "context"), o.select(first, F.col("word").alias("sense")), _profiles(s, d))
 
 

@@ -19,9 +19,9 @@ def write_nouns(nouns: DataFrame, path: str) -> None:
     n.write.mode("overwrite").csv(path, sep="\t", nullValue="", quote="")
 
 
-def write_artifact(table: DataFrame, path: str, key: str = "key", partitions: int = 64) -> None:
+def write_artifact(table: DataFrame, path: str, key: str = "key", partitions: int | None = None) -> None:
     """An exact lookup table: hash-partitioned by key and sorted inside each file, so a lookup reads few row groups."""
-    table.repartition(partitions, key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+    (table.repartition(partitions, key) if partitions else table.repartition(key)).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
 
 
 def write_flattened(docs: DataFrame, path: str) -> None:
