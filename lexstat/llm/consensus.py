@@ -72,9 +72,9 @@ def candidates(lines: DataFrame, names: list[str]) -> DataFrame:
 
     Where an annotator did not judge the word its four shares are 0. Several passes of one annotator are one vote.
     """
-    by_model = lines.groupBy("word", "model").agg(F.collect_list("cats").alias("passes"))
+    sets = lines.groupBy("word", "model", "cats").agg(F.count(F.lit(1)).alias("c"))  # however many passes, few distinct sets
     idx = F.create_map(*[x for i, m in enumerate(names) for x in (F.lit(m), F.lit(i))]) if names else F.create_map().cast("map<string,int>")
-    words = by_model.select("word", F.struct(idx[F.col("model")].alias("m"), F.col("passes")).alias("j")).groupBy("word").agg(
+    words = sets.select("word", F.struct(idx[F.col("model")].alias("m"), "cats", "c").alias("j")).groupBy("word").agg(
         F.array_sort(F.collect_list("j")).alias("judged"))
     return words.mapInArrow(_expander(len(names)), "word string, category int, votes array<float>, n_models int")
 
@@ -84,16 +84,18 @@ def _expander(n: int):
         for b in batches:
             words, cats, votes, counts = [], [], [], []
             for word, judged in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for c in sorted({c for j in judged for p in j["passes"] for c in p}):
+                passes: dict[int, int] = {}
+                for j in judged:
+                    passes[j["m"]] = passes.get(j["m"], 0) + j["c"]
+                for c in sorted({c for j in judged for c in j["cats"]}):
                     v = np.zeros((n, 4), dtype=np.float32)
                     for j in judged:
-                        w = 1.0 / len(j["passes"])
-                        for p in j["passes"]:
-                            v[j["m"], 0 if c in p else 1 if c - 1 in p else 2 if c + 1 in p else 3] += w
+                        p = j["cats"]
+                        v[j["m"], 0 if c in p else 1 if c - 1 in p else 2 if c + 1 in p else 3] += j["c"] / passes[j["m"]]
                     words.append(word)
                     cats.append(c)
                     votes.append(v.ravel())
-                    counts.append(len(judged))
+                    counts.append(len(passes))
             if words:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(words), pa.array(cats, pa.int32()), pa.array(votes, pa.list_(pa.float32())), pa.array(counts, pa.int32())],

@@ -29,8 +29,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Fixed value: the fractional part of the golden ratio.
 GOLDEN = 0.6180339887498949
 SLOT_CHUNK = 50_000
-#: Hash bits that cut a source into chunks of its stream.
-CHUNK_BITS = 10
+#: Chunks that all sources' streams are cut into together, at most 1024 a source: what is collected and broadcast of them.
+CHUNKS = 200_000
 
 
 @lru_cache(maxsize=2)
@@ -103,9 +103,10 @@ class Plan:
         self.targets = [(r["s"], float(r["w"] or 0), None if r["free"] else max(0, r["c"])) for r in rows]
         names = [s for s, _, _ in self.targets]
         sizes = token_sizes(documents, tokenizer)
-        self.docs = staged(sizes.withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("chunk", F.shiftright("h", 64 - CHUNK_BITS)))
+        bits = max(1, min(10, (CHUNKS // max(1, len(names))).bit_length() - 1))
+        self.docs = staged(sizes.withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("chunk", F.shiftright("h", 64 - bits)))
         known = self.docs.where(F.col("source").isin(names) & (F.col("tokens") > 0)) if names else self.docs.limit(0)
-        sums = known.groupBy("source", "chunk").agg(F.sum("tokens").alias("n"), F.count(F.lit(1)).alias("d")).collect()  # sources x 2 ** CHUNK_BITS
+        sums = known.groupBy("source", "chunk").agg(F.sum("tokens").alias("n"), F.count(F.lit(1)).alias("d")).collect()  # at most CHUNKS rows
         self.held: dict[str, int] = {}
         self.n_docs: dict[str, int] = {}
         offsets = []
