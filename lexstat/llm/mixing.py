@@ -153,9 +153,8 @@ class Plan:
         # a few slots more than blocks, as a source's slots can lag behind its share by a few
         n = whole + 8 * len(need) + 8
         u = (F.lit(0.5) + F.col("id") * F.lit(GOLDEN)) % 1.0
-        pick = F.lit(bounds[-1][0])
-        for s, b in reversed(bounds[:-1]):
-            pick = F.when(u < b, s).otherwise(pick)
+        passed = F.size(F.filter(F.array(*[F.lit(float(b)) for _, b in bounds[:-1]]).cast("array<double>"), lambda b: b <= u))
+        pick = F.element_at(F.array(*[F.lit(s) for s, _ in bounds]), passed + 1)
         made = spark.range(n).select(F.col("id").alias("slot"), pick.alias("source"), F.floor(F.col("id") / SLOT_CHUNK).alias("part"))
         per = made.groupBy("source", "part").agg(F.count(F.lit(1)).alias("c"))
         before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
