@@ -27,6 +27,8 @@ WINDOW, STRIDE = 36, 30
 WORDS, PAIRS, DIM, HIDDEN, ATTEND = 1 << 15, 1 << 14, 16, 12, 8
 #: Documents that training takes at most: labelled with some category, labelled with none, unlabelled.
 MAX_POSITIVE, MAX_NEGATIVE, MAX_SPARE = 800, 2000, 2000
+#: Score from which a document counts; over a half, as the second stage of training sees more positives than a corpus holds.
+CUT = 0.65
 #: Windows of a document that the second stage of training takes.
 KEEP = 3
 
@@ -358,7 +360,7 @@ def scores(documents: DataFrame, labels: DataFrame, **sample: int) -> DataFrame:
     return d.mapInArrow(_score(model.p), "doc_id bigint, " + ", ".join(f"{c} double" for c in CATEGORIES))
 
 
-def source_rates(scored: DataFrame, documents: DataFrame, cut: float = 0.5) -> DataFrame:
+def source_rates(scored: DataFrame, documents: DataFrame, cut: float = CUT) -> DataFrame:
     """source, n_docs and for each category the share of documents scored at least cut; spellings of a source are one.
 
     Documents without source are counted under null.
@@ -368,7 +370,7 @@ def source_rates(scored: DataFrame, documents: DataFrame, cut: float = 0.5) -> D
     return scored.join(src, "doc_id").groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), *map(rate, CATEGORIES))
 
 
-def found(scored: DataFrame, cut: float = 0.5) -> DataFrame:
+def found(scored: DataFrame, cut: float = CUT) -> DataFrame:
     """doc_id, category of every score of at least cut."""
     pairs: list[Column] = [F.struct(F.lit(c).alias("category"), F.col(c).alias("s")) for c in CATEGORIES]
     return scored.select("doc_id", F.explode(F.array(*pairs)).alias("x")).where(F.col("x.s") >= cut).select("doc_id", "x.category").distinct()
