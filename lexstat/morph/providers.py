@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import let
+
 MORPHEMES = "array<struct<surface:string,norm:string,pos0:string,pos1:string,start:int,end:int,known:boolean>>"
 
 #: The classes of characters that the regex provider tells apart, in this order.
@@ -35,11 +37,10 @@ def regex_morphemes(text: Column) -> Column:
 
     Null gives null, an empty text an empty array.
     """
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    ends = F.aggregate(
-        tokens, F.array().cast("array<int>"),
-        lambda acc, t: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.length(t))))
-    classed = F.zip_with(tokens, ends, lambda t, e: F.struct(t.alias("t"), e.alias("e"), _class(F.ascii(t)).alias("c")))
+    def ends(tokens: Column) -> Column:
+        return F.aggregate(
+            tokens, F.array().cast("array<int>"),
+            lambda acc, t: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + F.length(t))))
 
     def morpheme(x: Column) -> Column:
         c = x["c"]
@@ -49,7 +50,10 @@ def regex_morphemes(text: Column) -> Column:
         return F.struct(x["t"].alias("surface"), F.lower(x["t"]).alias("norm"), pos0.alias("pos0"), pos1.alias("pos1"),
                         (x["e"] - F.length(x["t"])).alias("start"), x["e"].alias("end"), (c != "foreign").alias("known"))
 
-    return F.transform(classed, morpheme)
+    def segmented(tokens: Column) -> Column:
+        return F.transform(F.zip_with(tokens, ends(tokens), lambda t, e: F.struct(t.alias("t"), e.alias("e"), _class(F.ascii(t)).alias("c"))), morpheme)
+
+    return let(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), segmented)
 
 
 def dictionary_morphemes(df: DataFrame, words: dict[str, tuple[str, str, str]], text: str = "text", out: str = "morphemes") -> DataFrame:

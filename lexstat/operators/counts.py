@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..morph import regex_morphemes
-from .segment import excerpt, is_content_word, is_counted_noun, rows_of, span_keys, span_surfaces, spans, surface_keys, with_morphemes
+from ..morph.providers import TOKEN
+from .segment import PLACEHOLDER, chunks, excerpt, is_content_word, is_counted_noun, rows_of, span_keys, span_surfaces, spans, surface_keys, with_morphemes
 
 
 def span_rows(docs: DataFrame, keep: list[str], bridge: bool = True, **kw) -> DataFrame:
@@ -24,7 +25,8 @@ def surface_rows(docs: DataFrame, keep: list[str], bridge: bool = True, text: st
 def compound_rows(docs: DataFrame, keep: list[str], unknown: bool = False, bridge: bool = True, text: str = "text", provider=regex_morphemes) -> DataFrame:
     """keep, key: one row per span and distinct key of it."""
     if provider is regex_morphemes and not unknown:
-        return rows_of(surface_rows(docs, keep, bridge, text), keep, surface_keys(F.col("surfaces")), "key")
+        spans_ = surface_rows(docs, keep, bridge, text).where(F.size("surfaces") >= 2)  # one morpheme alone is no compound
+        return rows_of(spans_, keep, surface_keys(F.col("surfaces")), "key")
     return rows_of(span_rows(docs, keep, bridge, text=text, provider=provider), keep, span_keys(F.col("span"), unknown), "key")
 
 
@@ -43,9 +45,22 @@ def component_counts(docs: DataFrame, by_document: bool = False, id_col: str = "
     return (rows.distinct() if by_document else rows).groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def noun_rows(docs: DataFrame, keep: list[str], **kw) -> DataFrame:
-    """keep, word, alone: every counted noun; alone if no noun, adjectival noun or affix stands next to it (spaces passed over)."""
-    m = with_morphemes(docs, keep, **kw).select(*keep, F.filter("morphemes", lambda m: m["pos0"] != "空白").alias("_solid"))
+_NOUN = "^[A-Za-zァ-ヶー一-龥々]"
+_RUN = "[A-Za-z0-9ァ-ヶー一-龥々]+(?:[ \t　]+[A-Za-z0-9ァ-ヶー一-龥々]+)*"
+
+
+def noun_rows(docs: DataFrame, keep: list[str], text: str = "text", provider=regex_morphemes) -> DataFrame:
+    """keep, word, alone: every counted noun; alone if no noun, adjectival noun or affix stands next to it (spaces passed over).
+
+    Of the character-class provider, whose nouns and numerals are runs of their classes, the same is found by pattern.
+    """
+    if provider is regex_morphemes:
+        runs = rows_of(docs, keep, F.regexp_extract_all(F.col(text), F.lit(_RUN), F.lit(0)), "_run")
+        parts = runs.select(*keep, F.regexp_extract_all("_run", F.lit("[A-Za-z]+|[0-9]+|[ァ-ヶー]+|[一-龥々]{1,2}"), F.lit(0)).alias("_parts"))
+        words = parts.select(*keep, (F.size("_parts") == 1).alias("alone"), F.explode_outer("_parts").alias("_w"))
+        words = words.where(F.col("_w").rlike(_NOUN) & ~F.col("_w").contains(PLACEHOLDER))
+        return words.select(*keep, F.lower("_w").alias("word"), "alone")
+    m = with_morphemes(docs, keep, text=text, provider=provider).select(*keep, F.filter("morphemes", lambda m: m["pos0"] != "空白").alias("_solid"))
     ms = F.col("_solid")
     joins = lambda x, affix: F.coalesce(x["pos0"].isin("名詞", "形状詞", affix), F.lit(False))
     before = lambda i: (i > 1) & joins(F.try_element_at(ms, F.when(i > 1, i - 1).otherwise(1)), "接頭辞")
@@ -60,22 +75,27 @@ def noun_counts(docs: DataFrame, **kw) -> DataFrame:
     return noun_rows(docs, [], **kw).groupBy("word").agg(F.count(F.lit(1)).alias("total"), F.count_if("alone").alias("alone"))
 
 
-def window_contexts(docs: DataFrame, targets: DataFrame, keep: list[str], around: int = 5, **kw) -> DataFrame:
+def window_contexts(docs: DataFrame, targets: DataFrame, keep: list[str], around: int = 5, text: str = "text", provider=regex_morphemes) -> DataFrame:
     """keep, word, context: content words within `around` morphemes of a target noun, in the same chunk, the target itself left out.
 
-    targets: word; their number is checked by the planner, which broadcasts only small ones.
+    targets: word; their number is checked by the planner, which broadcasts only small ones. The windows are cut first and
+    looked into only where the noun is a target.
     """
-    m = with_morphemes(docs, keep, **kw)
-    ms = F.col("morphemes")
-    norms = lambda a: F.transform(F.filter(a, is_content_word), lambda x: x["norm"])
-    items = F.transform(
-        F.filter(F.sequence(F.lit(1), F.greatest(F.size(ms), F.lit(1))), lambda i: F.coalesce(is_counted_noun(F.try_element_at(ms, i)), F.lit(False))),
-        lambda i: F.struct(
-            F.element_at(ms, i)["norm"].alias("word"),
-            F.concat(norms(F.slice(ms, F.greatest(i - around, F.lit(1)), F.least(i - 1, F.lit(around)))), norms(F.slice(ms, i + 1, F.lit(around)))).alias("ctx")))
-    hits = rows_of(m, keep, items, "n").select(*keep, "n.word", "n.ctx")
-    hits = hits.join(targets.select("word").distinct(), "word", "left_semi")
-    return hits.select(*keep, "word", F.explode("ctx").alias("context")).where("context <> word")
+    if provider is regex_morphemes:
+        c = docs.select(*keep, F.explode_outer(chunks(F.col(text))).alias("_c")).where("_c is not null")
+        m = c.select(*keep, F.regexp_extract_all("_c", F.lit(TOKEN), F.lit(0)).alias("_m"))
+        noun = lambda x: x.rlike(_NOUN) & ~x.contains(PLACEHOLDER)
+        content, norm = (lambda x: x.rlike(_NOUN)), F.lower
+    else:
+        m = with_morphemes(docs, keep, text=text, provider=provider).select(*keep, F.col("morphemes").alias("_m"))
+        noun, content, norm = is_counted_noun, is_content_word, lambda x: x["norm"]
+    ms = F.col("_m")
+    i = F.filter(F.sequence(F.lit(1), F.greatest(F.size(ms), F.lit(1))), lambda k: F.coalesce(noun(F.try_element_at(ms, k)), F.lit(False)))
+    windows = F.transform(i, lambda k: F.struct(
+        norm(F.element_at(ms, k)).alias("word"), F.slice(ms, F.greatest(k - around, F.lit(1)), F.least(k - 1, F.lit(around))).alias("before"), F.slice(ms, k + 1, F.lit(around)).alias("after")))
+    hits = rows_of(m, keep, windows, "n").select(*keep, "n.word", "n.before", "n.after").join(targets.select("word").distinct(), "word", "left_semi")
+    ctx = F.transform(F.filter(F.concat("before", "after"), content), norm)
+    return rows_of(hits, [*keep, "word"], ctx, "context").where("context <> word")
 
 
 def cooccurrence(docs: DataFrame, targets: DataFrame, around: int = 5, **kw) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import let
 from ..morph import regex_morphemes
 
 #: Chunk limit in bytes, longest span counted whole, the noun that stands for removed code.
@@ -155,11 +156,14 @@ def surface_keys(surfaces: Column) -> Column:
         return F.concat(whole, pairs)
 
     latin = lambda x: x.rlike("^[A-Za-z]")
-    i = F.filter(F.sequence(F.lit(1), F.greatest(F.size(surfaces), F.lit(1))), lambda k: latin(F.try_element_at(surfaces, k)))
-    edges = F.concat(F.array(F.lit(0)), i, F.array(F.size(surfaces) + 1))
-    inner = F.flatten(F.zip_with(F.slice(edges, 1, F.size(edges) - 1), F.slice(edges, 2, F.size(edges) - 1), lambda a, b: keys(F.slice(surfaces, a + 1, F.greatest(b - a - 1, F.lit(0))))))
-    surface = F.concat(keys(surfaces), F.when(F.exists(surfaces, latin), inner).otherwise(none))
-    return F.array_distinct(F.concat(surface, F.transform(surface, F.lower)))
+
+    def parts(edges: Column) -> Column:
+        return F.flatten(F.zip_with(F.slice(edges, 1, F.size(edges) - 1), F.slice(edges, 2, F.size(edges) - 1), lambda a, b: keys(F.slice(surfaces, a + 1, F.greatest(b - a - 1, F.lit(0))))))
+
+    at = F.filter(F.sequence(F.lit(1), F.greatest(F.size(surfaces), F.lit(1))), lambda k: latin(F.try_element_at(surfaces, k)))
+    inner = let(F.concat(F.array(F.lit(0)), at, F.array(F.size(surfaces) + 1)), parts)
+    surface = F.concat(keys(surfaces), F.when((F.size(surfaces) > 2) & F.exists(surfaces, latin), inner).otherwise(none))
+    return let(surface, lambda s: F.array_distinct(F.concat(s, F.transform(s, F.lower))))
 
 
 def is_whole_span(morphemes: Column, unknown: bool = False) -> Column:

@@ -353,12 +353,19 @@ def query_words(s: SparkSession, d: str) -> DataFrame:
     return judge.lookup(w.where(F.col("word").rlike(f"^[A-Za-z{_CJK}]+$")), b, p)
 
 
-@query()
+@query("""WITH r AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9ァ-ヶー一-龥々]+(?:[ \t　]+[A-Za-z0-9ァ-ヶー一-龥々]+)*')) AS run FROM documents),
+t AS (SELECT regexp_extract_all(run, '[A-Za-z]+|[0-9]+|[ァ-ヶー]+|[一-龥々]{1,2}') AS ts FROM r), w AS (SELECT len(ts) = 1 AS alone, unnest(ts) AS w FROM t)
+SELECT lower(w) AS word, count(*) AS total, count(*) FILTER (alone) AS alone FROM w WHERE NOT regexp_matches(w, '^[0-9]') GROUP BY 1""")
 def noun_counts(s: SparkSession, d: str) -> DataFrame:
     return counts.noun_counts(_texts(s, d))
 
 
-@query()
+@query(f"""WITH c AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^。\n]*[。\n]|[^。\n]+')) AS c FROM documents),
+tk AS (SELECT row_number() OVER () AS cid, regexp_extract_all(c, '[A-Za-z]+|[0-9]+|[ァ-ヶー]+|[一-龥々]{{1,2}}|[ぁ-ん]+|[ \t　]+|(?s:.)') AS ts FROM c),
+p AS (SELECT cid, unnest(ts) AS t, unnest(range(1, len(ts) + 1)) AS i FROM tk),
+n AS (SELECT cid, i, lower(t) AS w FROM p WHERE regexp_matches(t, '^[A-Za-zァ-ヶー一-龥々]')),
+tg AS (SELECT DISTINCT word FROM occurrences WHERE word IS NOT NULL)
+SELECT a.w AS word, b.w AS context, count(*) AS cnt FROM n a JOIN n b ON a.cid = b.cid AND b.i BETWEEN a.i - 5 AND a.i + 5 AND a.i <> b.i WHERE a.w <> b.w AND a.w IN (SELECT word FROM tg) GROUP BY 1, 2""")
 def cooccurrence_window(s: SparkSession, d: str) -> DataFrame:
     return counts.cooccurrence(_texts(s, d), table(s, d, "occurrences").where("word is not null").select("word"))
 

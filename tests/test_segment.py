@@ -87,6 +87,16 @@ def test_fast_path_equals_the_general_one(spark):
         assert sorted(fast) == sorted(slow)
 
 
+def test_nouns_and_windows_by_pattern_equal_the_general_way(spark):
+    r = random.Random(4)
+    alphabet = ["公開", "鍵", "認証", "API", "ZZCODEZZ", "レプリカ", " ", "\u3000", "の", "3", "、", "。", "js", "\n", "々"]
+    docs = spark.createDataFrame([(i, "".join(r.choice(alphabet) for _ in range(40))) for i in range(60)] + [(99, None), (98, "")], "doc_id bigint, text string")
+    targets = spark.createDataFrame([("公開",), ("api",), ("鍵",), ("zzcodezz",)], "word string")
+    same = lambda c: regex_morphemes(c)
+    assert sorted(counts.noun_counts(docs).collect()) == sorted(counts.noun_counts(docs, provider=same).collect())
+    assert sorted(counts.cooccurrence(docs, targets).collect()) == sorted(counts.cooccurrence(docs, targets, provider=same).collect())
+
+
 def test_chunks_keep_the_text_and_the_limit(spark):
     texts = ["あ" * 2000 + "。" + "い" * 10 + "。", "う" * 10000, "え、" * 5000, "a。b\nc", "", "𠮟" * 5000]
     df = spark.createDataFrame([(t,) for t in texts], "text string").select("text", segment.chunks(F.col("text")).alias("c"))
