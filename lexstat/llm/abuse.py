@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import folded
 from ..session import spread
+from ._batches import pieces
 
 CATEGORIES = ("abusive", "hateful", "sexual")
 WINDOW, STRIDE = 36, 30
@@ -300,8 +301,7 @@ def _score(params: dict[str, np.ndarray]):
         for k, x in model.project(np.zeros((0, DIM), np.float32)).items():
             table[k][:1] = x
         for whole in batches:
-            for at in range(0, len(whole), 1000):
-                b = whole.slice(at, 1000)
+            for b in pieces(whole, 1):
                 if len(known) > 150_000:  # words met so far, kept only to save work
                     known.clear()
                 rows, fresh, had = [], [], len(known) + 1

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
+from ._batches import pieces
 
 GRAM = 4
 WINDOW = 15
@@ -30,6 +31,8 @@ RADIUS = 3
 SHINGLE = 12
 #: Characters of items that are shipped to the tasks at once (an index of about 40 bytes a character).
 BLOCK_CHARS = 2_000_000
+#: Characters of a batch that are fingerprinted at once, a multiple of STEP.
+BLOCK = 1 << 19
 #: Share of an item that matching windows must span before it is verified.
 PREFILTER = 0.12
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -147,8 +150,7 @@ def _search(items: list[tuple[int, str]], cut: float):
         index = _Index(items)
         many = max(1, 2_000_000 // max(1, len(items)))
         for whole in batches:
-            for at in range(0, len(whole), min(1000, many)):
-                b = whole.slice(at, min(1000, many))
+            for b in pieces(whole, 1, rows=min(2000, many)):
                 yield _batch(index, b, cut)
     return run
 
@@ -163,17 +165,17 @@ def _batch(index: _Index, b: pa.RecordBatch, cut: float) -> pa.RecordBatch:
         parts += [t, "\0" * pad]
         n += len(t) + pad
     codes = _codes("".join(parts))
-    fps = _fingerprints(codes, STEP)
-    if len(fps) and len(index.fp):
-        i, k = index.near(fps)
-        doc = np.searchsorted(start, i * STEP, side="right") - 1
-        # a window counts once for each item it is near to
-        reps = index.first[k + 1] - index.first[k]
-        w = np.repeat(i, reps)
-        owner = index.own[np.arange(len(w)) - np.repeat(np.cumsum(reps) - reps, reps) + np.repeat(index.first[k], reps)]
+    if len(index.fp):
         m = len(index.ids)
-        pair = np.unique(w * m + owner)
-        count = np.bincount((np.searchsorted(start, pair // m * STEP, side="right") - 1) * m + pair % m, minlength=0) if len(doc) else np.zeros(0, dtype=np.int64)
+        count = np.zeros(len(texts) * m, dtype=np.int64)
+        for at in range(0, len(codes), BLOCK):  # a fingerprint takes 64 bytes a character while it is made
+            i, k = index.near(_fingerprints(codes[at : at + BLOCK + WINDOW], STEP))
+            reps = index.first[k + 1] - index.first[k]
+            w = np.repeat(i, reps)
+            owner = index.own[np.arange(len(w)) - np.repeat(np.cumsum(reps) - reps, reps) + np.repeat(index.first[k], reps)]
+            pair = np.unique(w * m + owner)  # a window counts once for each item it is near to
+            doc = np.searchsorted(start, pair // m * STEP + at, side="right") - 1
+            count += np.bincount(doc * m + pair % m, minlength=len(count))
         for p in np.flatnonzero(count):
             d, o = divmod(int(p), m)
             if count[p] * STEP >= PREFILTER * index.length[o]:

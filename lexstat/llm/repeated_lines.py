@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from ._batches import pieces
 from ._pages import latest_pages
 
 WINDOW = 4
@@ -69,7 +70,7 @@ _CHUNKS = "source_name string, page_id bigint, line_no int, line_key bigint, chu
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in (x for whole in batches for x in pieces(whole, 2)):
         src, page, no, letters = [], [], [], []
         for s, p, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
             for i, x in enumerate(t.split("\n")):

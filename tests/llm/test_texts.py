@@ -216,6 +216,25 @@ def test_item_blocks_give_the_same(spark, monkeypatch):
     assert {x["item_id"] for x in leakage.leaks(d, i).collect()} == {2, 7}
 
 
+def test_long_documents_are_searched_to_the_end(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "BLOCK", 64)
+    items = [(i, "".join(chr(0x4E00 + (i * 977 + k * 31) % 5000) for k in range(80))) for i in range(4)]
+    noise = "".join(chr(0x4E00 + (k * k * 7 + k) % 6000) for k in range(3000))
+    d = spark.createDataFrame([(1, noise + items[1][1] + noise[:501] + items[3][1]), (2, items[0][1][:79])], "doc_id bigint, text string")
+    i = spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(x["doc_id"], x["item_id"]) for x in leakage.leaks(d, i).collect()} == {(1, 1), (1, 3), (2, 0)}
+
+
+def test_pieces_hold_every_row_once():
+    import pyarrow as pa
+    from lexstat.llm._batches import pieces
+    b = pa.RecordBatch.from_pydict({"t": ["", None, "a" * 50, "b" * 500, "c", "d" * 99, "e"] * 3})
+    out = list(pieces(b, 0, chars=100, rows=4))
+    assert [x for p in out for x in p.column(0).to_pylist()] == b.column(0).to_pylist()
+    assert all(len(p) <= 4 and (len(p) == 1 or sum(len(x or "") for x in p.column(0).to_pylist()) <= 100) for p in out)
+    assert list(pieces(b.slice(0, 0), 0)) == []
+
+
 def test_all_fingerprints_within_the_radius_are_found():
     r = np.random.default_rng(0)
     index = leakage._Index([(k, "".join(chr(0x4E00 + c) for c in r.integers(0, 4000, 60))) for k in range(5)])
