@@ -96,3 +96,26 @@ def mode_share(rows: DataFrame, group: str, value: str) -> DataFrame:
     r = F.row_number().over(w.orderBy(F.desc("c"), value))
     d = c.withColumn("n", F.sum("c").over(w)).withColumn("_r", r).where("_r = 1")
     return d.select(group, "n", F.col(value).alias("mode"), F.round(F.col("c") / F.col("n"), 6).alias("share"))
+
+
+def dominated(conditions: DataFrame) -> DataFrame:
+    """The conditions (condition, tp, fp) with dominated: some other has no fewer hits and no more false ones, and differs.
+
+    Conditions are few: one row per threshold and exemption list, so ordering them all is no matter.
+    """
+    from pyspark.sql import Window
+    g = conditions.groupBy("tp", "fp").agg(F.collect_list("condition").alias("cs"))
+    before = F.max("tp").over(Window.orderBy("fp", F.desc("tp")).rowsBetween(Window.unboundedPreceding, -1))
+    d = g.withColumn("dominated", F.coalesce(before >= F.col("tp"), F.lit(False)))
+    return d.select(F.explode("cs").alias("condition"), "tp", "fp", "dominated")
+
+
+def review_queue(candidates: DataFrame, labels: DataFrame, findings: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, label, found, only_detector: every candidate with its label and whether a detector found it, then the
+    detector's findings that are no candidates."""
+    c = candidates.select(*keys).distinct()
+    f = findings.select(*keys).distinct().withColumn("found", F.lit(True))
+    lab = labels.groupBy(*keys).agg(F.max("label").alias("label"))
+    mine = c.join(lab, keys, "left").join(f, keys, "left").select(*keys, "label", F.coalesce("found", F.lit(False)).alias("found"), F.lit(False).alias("only_detector"))
+    rest = f.join(c, keys, "left_anti").select(*keys, F.lit(None).cast("string").alias("label"), "found", F.lit(True).alias("only_detector"))
+    return mine.unionByName(rest)

@@ -147,3 +147,33 @@ def levels(rows: DataFrame, col: str) -> DataFrame:
     from pyspark.sql import Window
     d = rows.where(F.col(col).isNotNull()).select(F.col(col).alias("value")).distinct()
     return d.withColumn("code", F.row_number().over(Window.orderBy("value")) - 1)
+
+
+def usable(occurrences: DataFrame, grammar: list[str], excluded_paths: list[str] = ()) -> DataFrame:
+    """Occurrences (word, path, excerpt) of one kanji that is no grammar character, outside the excluded paths, and not
+    only mentioned in 「」."""
+    d = occurrences.where(F.col("word").rlike("^[一-鿿]$") & ~F.col("word").isin(list(grammar)))
+    for p in excluded_paths:
+        d = d.where(~F.coalesce(F.col("path"), F.lit("")).contains(p))
+    return d.where(~F.coalesce(F.col("excerpt").contains(F.concat(F.lit("「"), F.col("word"), F.lit("」"))), F.lit(False)))
+
+
+def is_poor_negative(sentence: Column, word: Column, chars: list[str] = ()) -> Column:
+    """Whether a sentence is unfit as an example: without the word, without hiragana, a weekday in brackets, or a listed word."""
+    weekday = sentence.rlike("[(（][月火水木金土日][)）]")
+    return ~F.coalesce(sentence.contains(word), F.lit(False)) | ~F.coalesce(sentence.rlike("[ぁ-ん]"), F.lit(False)) | F.coalesce(weekday, F.lit(False)) | word.isin(list(chars))
+
+
+def target_reasons(words: DataFrame, rules: list[tuple[str, DataFrame]]) -> DataFrame:
+    """word, reason: the first rule (name, words) that holds a word, null if none does."""
+    d, reason = words.where("word is not null").select("word").distinct(), F.lit(None).cast("string")
+    for i, (_, w) in enumerate(rules):
+        d = d.join(w.select("word").distinct().withColumn(f"_r{i}", F.lit(True)), "word", "left")
+    for i, (name, _) in reversed(list(enumerate(rules))):
+        reason = F.when(F.coalesce(f"_r{i}", F.lit(False)), name).otherwise(reason)
+    return d.select("word", reason.alias("reason"))
+
+
+def moments(scores: DataFrame) -> DataFrame:
+    """mean, std (of the population) of score; NaN and null are left out."""
+    return scores.where("score is not null and not isnan(score)").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))

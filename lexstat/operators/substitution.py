@@ -117,3 +117,17 @@ def split_parts(word: Column, parts: list[str]) -> Column:
 
 def _quoted(s: str) -> str:
     return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def with_samples(rows: DataFrame, samples: int) -> DataFrame:
+    """Every row once for each sample_index from 0."""
+    return rows.withColumn("sample_index", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))) if samples > 0 else rows.limit(0).withColumn("sample_index", F.lit(0))
+
+
+def loan_languages(entries: DataFrame) -> DataFrame:
+    """reading, languages: source languages of a reading, only if every entry of it names some and none is English.
+
+    entries: reading, languages (array)."""
+    ok = F.bool_and((F.size(F.coalesce("languages", F.array().cast("array<string>"))) > 0) & ~F.array_contains(F.coalesce("languages", F.array().cast("array<string>")), F.lit("eng")))
+    g = entries.groupBy("reading").agg(ok.alias("ok"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("languages")))).alias("languages"))
+    return g.where("ok").select("reading", "languages")

@@ -128,3 +128,16 @@ def to_do(words: DataFrame, done: DataFrame) -> DataFrame:
 def class_codes(cats: Column, prefix: str) -> Column:
     """Tab-joined class numbers like 1.1100 of a category array."""
     return F.array_join(F.transform(cats, lambda c: F.concat(F.lit(f"{prefix}."), c.cast("string"), F.lit("00"))), "\t")
+
+
+def halves(rows: DataFrame, size: int = 20) -> DataFrame:
+    """front, back: mean number of categories in the first and second half of a batch. rows: chunk_index, categories."""
+    n = F.size("categories").cast("double")
+    front = F.col("chunk_index") < size // 2
+    return rows.where("categories is not null").agg(F.avg(F.when(front, n)).alias("front"), F.avg(F.when(~front, n)).alias("back"))
+
+
+def imported(old: DataFrame, done: DataFrame, contexts: DataFrame, contract: str) -> DataFrame:
+    """Older votes (word, categories, model, date) in today's form, with the word's context, for words not done yet."""
+    d = old.join(done.select("word", "model").distinct(), ["word", "model"], "left_anti").join(contexts.select("word", "context"), "word", "left")
+    return d.select("word", "categories", "model", "date", F.lit(contract).alias("contract"), F.col("context").alias("context_used"))

@@ -185,3 +185,21 @@ def registrable_names(arts: DataFrame) -> DataFrame:
     """key, bucket: titles and redirects that may be registered as headwords."""
     names = arts.select(F.explode(F.concat(F.array("title"), F.coalesce("redirect_titles", F.array().cast("array<string>")))).alias("key")).where("key is not null and key <> ''").distinct()
     return names.where(is_registrable(regex_morphemes(F.col("key")))).select("key", F.lit(7).alias("bucket"))
+
+
+def gloss_rows(spark: SparkSession, path: str) -> DataFrame:
+    """word, first_glosses, tags of a gloss table: column 4 counts the first sense's glosses, which start in column 7;
+    column 6 holds tags. Rows with fewer than 7 columns or no count are left out."""
+    f = F.split("value", "\t")
+    d = spark.read.text(path).where(F.size(f) >= 7).select(f[0].alias("word"), f[3].try_cast("int").alias("n"), f[5].alias("tags"), f.alias("f"))
+    return d.where("n is not null and n >= 0").select("word", F.slice("f", F.lit(7), F.col("n")).alias("first_glosses"), "tags")
+
+
+def novelty_table(spark: SparkSession, path: str) -> DataFrame:
+    """kind, owner, grp, key, cnt of tab-separated five-tuples."""
+    return spark.read.csv(path, sep="\t", schema="kind string, owner string, grp string, key string, cnt bigint", quote="")
+
+
+def answer_rows(spark: SparkSession, path: str) -> DataFrame:
+    """word, fragment, answer of a table with a header; rows with fewer than three columns are left out."""
+    return spark.read.csv(path, sep="\t", header=True, schema="word string, fragment string, answer string", quote="").where("answer is not null")
