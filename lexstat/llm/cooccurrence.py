@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank
+from ..session import staged
 
 PLACEHOLDER = "ZZCODEZZ"
 #: Entries that a map task's stripes may hold before they are written out.
@@ -68,7 +69,7 @@ def pair_counts(df: DataFrame) -> DataFrame:
     llr: Dunning's log-likelihood ratio of the 2 x 2 table, signed negative when the pair is rarer than chance. Tables
     without a record give no rows.
     """
-    recs = records(df)
+    recs = staged(records(df))  # read three times below
     stripes = recs.where("size(others) > 0").select("word", "others").mapInPandas(
         _stripes, "word_a string, neighbours array<string>, counts array<bigint>")
     pairs = (
