@@ -67,12 +67,14 @@ def is_classical(law_id: Column) -> Column:
     return (era < 3) | ((era == 3) & (year < 22))
 
 
-def domain_pairs(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def domain_pairs(rows: DataFrame, id_col: str = "doc_id", distinct: bool = False) -> DataFrame:
     """word, domain, docs: documents of each domain that hold the word; a document of several domains counts in each.
 
-    rows: id, word, domains. Words are made distinct per document before the domains are spread out.
+    rows: id, word, domains. Words are made distinct per document before the domains are spread out; distinct: they are
+    so already, which saves an exchange of all rows.
     """
-    d = rows.where("word is not null").select(id_col, "word", "domains").dropDuplicates([id_col, "word"])
+    d = rows.where("word is not null").select(id_col, "word", "domains")
+    d = d if distinct else d.dropDuplicates([id_col, "word"])
     return d.select("word", F.explode("domains").alias("domain")).groupBy("word", "domain").agg(F.count(F.lit(1)).alias("docs"))
 
 

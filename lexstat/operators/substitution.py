@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 def ranked_candidates(responses: DataFrame, keys: list[str]) -> DataFrame:
     """keys, candidate, votes, mean_rank: in how many responses a candidate occurs and its mean first place (from 1).
 
-    responses: response_id, keys, candidates; null and empty candidates are passed over but keep their place, of a
-    repeated one the first place counts.
+    responses: keys, candidates, one row per response; null and empty candidates are passed over but keep their place, of
+    a repeated one the first place counts. Places are found inside the row, so one exchange does for all.
     """
-    c = responses.select("response_id", *keys, F.posexplode("candidates").alias("i", "candidate")).where("candidate is not null and candidate <> ''")
-    first = c.groupBy("response_id", *keys, "candidate").agg(F.min("i").alias("i"))
-    return first.groupBy(*keys, "candidate").agg(F.count(F.lit(1)).alias("votes"), F.round(F.avg(F.col("i") + 1), 6).alias("mean_rank"))
+    named = F.filter(F.array_distinct("candidates"), lambda c: c.isNotNull() & (c != ""))
+    placed = F.transform(named, lambda c: F.struct(c.alias("candidate"), F.array_position("candidates", c).alias("i")))
+    c = responses.select(*keys, F.explode(placed).alias("c"))
+    return c.groupBy(*keys, F.col("c.candidate").alias("candidate")).agg(F.count(F.lit(1)).alias("votes"), F.round(F.avg("c.i"), 6).alias("mean_rank"))
 
 
 def top_candidates(ranked: DataFrame, keys: list[str], n: int = 12) -> DataFrame:

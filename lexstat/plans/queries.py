@@ -235,7 +235,7 @@ dp AS (SELECT word, domain, count(*) AS docs FROM w JOIN ad USING (page_id) GROU
 def _pairs(s: SparkSession, d: str) -> DataFrame:
     a = _articles(s, d)
     words = a.select("page_id", "domains", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"[{_CJK}]+"), F.lit(0)))).alias("word"))
-    return domains.domain_pairs(words, "page_id")
+    return domains.domain_pairs(words, "page_id", distinct=True)
 
 
 @query("WITH" + _PAIRS + "SELECT * FROM dp")
@@ -497,7 +497,7 @@ rk AS (SELECT word, candidate, count(*) AS votes, round(avg(i), 6) AS mean_rank
 
 def _ranked(s: SparkSession, d: str) -> DataFrame:
     o = table(s, d, "occurrences").where("word is not null and occ_id is not null").dropDuplicates(["occ_id", "word"])
-    return substitution.ranked_candidates(o.select(F.col("occ_id").alias("response_id"), "word", F.col("context").alias("candidates")), ["word"])
+    return substitution.ranked_candidates(o.select("word", F.col("context").alias("candidates")), ["word"])
 
 
 @query("WITH" + _RANKS + "SELECT word, candidate, votes, mean_rank FROM rk")
