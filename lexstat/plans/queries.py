@@ -510,11 +510,11 @@ def candidate_top12(s: SparkSession, d: str) -> DataFrame:
     return substitution.top_candidates(_ranked(s, d), ["word"])
 
 
-@query("WITH" + _RANKS + """, ct AS (SELECT term FROM term_counts WHERE term IS NOT NULL AND total IS NOT NULL GROUP BY term HAVING sum(total) >= 20)
-SELECT word, candidate, votes, mean_rank FROM rk WHERE votes >= 3 AND NOT regexp_matches(candidate, '^[ァ-ヶー・]+$') AND candidate IN (SELECT term FROM ct)""")
+@query("WITH" + _RANKS + """, ct AS (SELECT term FROM term_counts WHERE term IS NOT NULL AND total IS NOT NULL GROUP BY term HAVING sum(total) >= 10)
+SELECT word, candidate, votes, mean_rank FROM rk WHERE votes >= 1 AND NOT regexp_matches(candidate, '^[ァ-ヶー・]+$') AND candidate IN (SELECT term FROM ct)""")
 def accepted_candidates(s: SparkSession, d: str) -> DataFrame:
     c = table(s, d, "term_counts").where("term is not null and total is not null").groupBy(F.col("term").alias("word")).agg(F.sum("total").alias("cnt"))
-    return substitution.accepted(_ranked(s, d), c, min_count=20)
+    return substitution.accepted(_ranked(s, d), c, min_votes=1, min_count=10)
 
 
 @query("""WITH c AS (SELECT source, term, sum(total)::BIGINT AS cnt FROM term_counts WHERE kind = 'noun' AND term IS NOT NULL AND total IS NOT NULL GROUP BY 1, 2), t AS (SELECT source, sum(cnt) AS n FROM c GROUP BY 1)
