@@ -341,11 +341,15 @@ def training_sample(
         F.greatest(F.count_distinct(F.coalesce("rater", F.lit(""))), F.lit(1)).alias("n"),
         *[F.count_distinct(F.when(F.col("label") == c, F.coalesce("rater", F.lit("")))).alias(c) for c in CATEGORIES])
     any_of = sum((F.col(c) for c in CATEGORIES[1:]), F.col(CATEGORIES[0])) > 0
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    pick = per.where(any_of).orderBy(*order).limit(max_positive).unionByName(per.where(~any_of).orderBy(*order).limit(max_negative))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    pick = per.where(any_of).orderBy(draw, "doc_id").limit(max_positive).unionByName(per.where(~any_of).orderBy(draw, "doc_id").limit(max_negative))
     texts = documents.where("text is not null").select("doc_id", "text")
     got = texts.join(F.broadcast(pick), "doc_id").orderBy("doc_id").collect()
-    rest = texts.orderBy(*order).limit(max_spare).join(per.select("doc_id"), "doc_id", "left_anti").orderBy("doc_id").collect()
+    # ids alone are drawn, and first thinned out to a few times what is wanted, so that no task gathers more
+    n = max(1, documents.count())
+    ids = documents.where("text is not null and doc_id is not null").select("doc_id").where(draw < int((1 << 30) * min(1.0, 4 * max_spare / n)))
+    spare = ids.distinct().orderBy(draw, "doc_id").limit(max_spare).join(per.select("doc_id"), "doc_id", "left_anti")
+    rest = texts.join(F.broadcast(spare), "doc_id").orderBy("doc_id").limit(2 * max_spare).collect()
     return [r["text"] for r in got], np.array([[r[c] / r["n"] for c in CATEGORIES] for r in got], np.float32).reshape(-1, 3), [r["text"] for r in rest]
 
 
