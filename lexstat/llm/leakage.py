@@ -1,10 +1,15 @@
 """Evaluation items inside a corpus.
 
 Texts are reduced to their letters and digits. Windows of WINDOW of them are fingerprinted with SimHash over
-character 4-grams: of the items at every place, of the documents at every STEP-th. A multi-index of four 16-bit
+character trigrams: of the items at every place, of the documents at every STEP-th. A multi-index of four 16-bit
 blocks finds all item fingerprints within RADIUS bits of a document's (with more blocks than the radius, one block
-must agree). Items that enough windows of a document point to are verified exactly: the share of the item, by weight,
-that lies under 12-character shingles which the document has too. Shingles that many items share weigh less.
+must agree). What is verified exactly is the share of the item, by weight, that lies under 12-character shingles which
+the document has too. Shingles that many items share weigh less.
+
+The windows lose no pair that the exact check accepts: a shared shingle holds a whole window of the document, as
+WINDOW + STEP - 1 <= SHINGLE, and whatever such shingles cover of an item lies within STEP - 1 letters before and
+SHINGLE letters from the beginnings of the item's windows that were found. So only pairs are passed over in which those
+stretches together weigh less than the cut.
 
 The items are the query set: they are taken in blocks of at most BLOCK_CHARS characters, each shipped to the
 tasks once; the corpus is read block-wise and never shuffled.
@@ -24,8 +29,8 @@ from pyspark.sql import functions as F
 from ..session import spread
 from ._batches import pieces
 
-GRAM = 4
-WINDOW = 15
+GRAM = 3
+WINDOW = 9
 STEP = 4
 RADIUS = 3
 SHINGLE = 12
@@ -33,8 +38,6 @@ SHINGLE = 12
 BLOCK_CHARS = 2_000_000
 #: Characters of a batch that are fingerprinted at once, a multiple of STEP.
 BLOCK = 1 << 19
-#: Share of an item that matching windows must span before it is verified.
-PREFILTER = 0.12
 _B = np.uint64(0x9E3779B97F4A7C15)
 _NO = re.compile(r"[\W_]+")
 
@@ -65,19 +68,20 @@ def _grams(codes: np.ndarray, n: int) -> np.ndarray:
 
 
 def _fingerprints(codes: np.ndarray, step: int) -> np.ndarray:
-    """SimHash of the windows that start at multiples of step (1 or 4); bit i is set if over half of the 12 grams have it."""
+    """SimHash of the windows that start at multiples of step (1 or 4); bit i is set if over half of the 7 grams have it."""
     g = _grams(codes, GRAM)
     k = WINDOW - GRAM + 1
     n = len(g) - k + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    bits = np.unpackbits(g.view(np.uint8)).reshape(-1, 64)
     if step == STEP:
-        q = len(bits) // STEP
-        b = bits[: q * STEP].reshape(q, STEP, 64)
-        part = b[:, 0] + b[:, 1] + b[:, 2] + b[:, 3]
-        sums = part[: q - 2] + part[1 : q - 1] + part[2:q]
+        n = (n - 1) // STEP + 1
+        b = np.unpackbits(g[: n * STEP + k - STEP].view(np.uint8)).reshape(-1, 64)
+        b = np.concatenate([b, np.zeros((2 * STEP - k, 64), np.uint8)]).reshape(n + 1, STEP, 64)
+        part = b[:, 0] + b[:, 1] + b[:, 2]
+        sums = part[:n] + b[:n, 3] + part[1:]
     else:
+        bits = np.unpackbits(g.view(np.uint8)).reshape(-1, 64)
         sums = bits[:n].copy()
         for j in range(1, k):
             sums += bits[j : j + n]
@@ -90,20 +94,31 @@ class _Index:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = np.array([i for i, _ in items], dtype=np.int64)
         texts = [letters(t) for _, t in items]
-        self.short = [(k, t) for k, t in enumerate(texts) if 0 < len(t) < WINDOW + STEP]
-        long = [k for k, t in enumerate(texts) if len(t) >= WINDOW + STEP]
-        self.length = np.array([max(len(t), 1) for t in texts])
-        fps, owner, grams = [], [], {}
-        for k in long:
-            c = _codes(texts[k])
-            f = np.unique(_fingerprints(c, 1))
+        self.short = [(k, t) for k, t in enumerate(texts) if 0 < len(t) < SHINGLE]
+        long = [k for k, t in enumerate(texts) if len(t) >= SHINGLE]
+        grams = {k: _grams(_codes(texts[k]), SHINGLE) for k in long}
+        values, counts = np.unique(np.concatenate([np.unique(g) for g in grams.values()]) if grams else np.zeros(0, dtype=np.uint64), return_counts=True)
+        self.grams = grams
+        self.weight = {}
+        self.total = np.full(len(texts), np.inf)
+        fps, owner, reach = [], [], []
+        for k, g in grams.items():
+            w = 1.0 / counts[np.searchsorted(values, g)]
+            cover = lambda x, g=g: np.convolve(x, np.ones(SHINGLE))
+            self.weight[k] = w = cover(w) / cover(np.ones(len(g)))
+            self.total[k] = w.sum()
+            f, which = np.unique(_fingerprints(_codes(texts[k]), 1), return_inverse=True)
+            at = np.arange(len(which))
+            below = np.append(0, np.cumsum(w))
             fps.append(f)
             owner.append(np.full(len(f), k))
-            grams[k] = _grams(c, SHINGLE)
+            # all weight that shingles around a window's places can cover
+            reach.append(np.bincount(which, below[np.minimum(at + SHINGLE, len(w))] - below[np.maximum(at - STEP + 1, 0)]))
         fp = np.concatenate(fps) if fps else np.zeros(0, dtype=np.uint64)
         own = np.concatenate(owner) if owner else np.zeros(0, dtype=np.int64)
+        reach = np.concatenate(reach) if reach else np.zeros(0)
         order = np.lexsort((own, fp))
-        fp, own = fp[order], own[order]
+        fp, own, self.reach = fp[order], own[order], reach[order]
         self.fp, first = np.unique(fp, return_index=True)
         self.own, self.first = own, np.append(first, len(own))
         self.blocks = []
@@ -111,13 +126,6 @@ class _Index:
             key = ((self.fp >> np.uint64(16 * j)) & np.uint64(0xFFFF)).astype(np.int64)
             at = np.argsort(key, kind="stable")
             self.blocks.append((np.searchsorted(key[at], np.arange(65537)), at))
-        values, counts = np.unique(np.concatenate([np.unique(g) for g in grams.values()]) if grams else np.zeros(0, dtype=np.uint64), return_counts=True)
-        self.grams = grams
-        self.weight = {}
-        for k, g in grams.items():
-            w = 1.0 / counts[np.searchsorted(values, g)]
-            cover = lambda x, g=g: np.convolve(x, np.ones(SHINGLE))
-            self.weight[k] = cover(w) / cover(np.ones(len(g)))
 
     def near(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (place in fps, place in self.fp) within RADIUS bits."""
@@ -167,19 +175,17 @@ def _batch(index: _Index, b: pa.RecordBatch, cut: float) -> pa.RecordBatch:
     codes = _codes("".join(parts))
     if len(index.fp):
         m = len(index.ids)
-        count = np.zeros(len(texts) * m, dtype=np.int64)
+        most = np.zeros(len(texts) * m)
         for at in range(0, len(codes), BLOCK):  # a fingerprint takes 64 bytes a character while it is made
             i, k = index.near(_fingerprints(codes[at : at + BLOCK + WINDOW], STEP))
+            doc = np.searchsorted(start, i * STEP + at, side="right") - 1
+            hit = np.unique(doc * len(index.fp) + k)  # a repeated window reaches no more than one
+            doc, k = hit // len(index.fp), hit % len(index.fp)
             reps = index.first[k + 1] - index.first[k]
-            w = np.repeat(i, reps)
-            owner = index.own[np.arange(len(w)) - np.repeat(np.cumsum(reps) - reps, reps) + np.repeat(index.first[k], reps)]
-            pair = np.unique(w * m + owner)  # a window counts once for each item it is near to
-            doc = np.searchsorted(start, pair // m * STEP + at, side="right") - 1
-            count += np.bincount(doc * m + pair % m, minlength=len(count))
-        for p in np.flatnonzero(count):
-            d, o = divmod(int(p), m)
-            if count[p] * STEP >= PREFILTER * index.length[o]:
-                out.append((d, o))
+            e = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps - index.first[k], reps)
+            most += np.bincount(np.repeat(doc, reps) * m + index.own[e], index.reach[e], minlength=len(most))
+        need = np.tile(index.total * max(cut, 1e-9) * (1 - 1e-6), len(texts))
+        out = [divmod(int(p), m) for p in np.flatnonzero(most >= need)]
     rows, seen, shingles = [], -1, None
     for d, o in out:
         if d != seen:
@@ -209,7 +215,7 @@ def leaks(documents: DataFrame, items: DataFrame, cut: float = 0.5) -> DataFrame
     """doc_id, item_id, similarity of every document that holds at least `cut` of an item, in one or more pieces.
 
     Case, width, punctuation, blanks and line breaks do not matter; other small alterations cost the characters they
-    touch. Items of fewer than WINDOW + STEP letters must be held whole; items and documents without letters hold
+    touch. Items of fewer than SHINGLE letters must be held whole; items and documents without letters hold
     nothing. Null texts and ids are left out; repeated documents come out as often as they are given; an item_id given
     with several texts counts by the best of them. An empty table gives no rows.
     """

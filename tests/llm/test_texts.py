@@ -208,6 +208,22 @@ def test_leaks(spark):
     assert leakage.leaks(d, i.limit(0)).collect() == [] and leakage.leaks(d.limit(0), i).collect() == []
 
 
+def test_no_pair_over_the_cut_is_lost_before_the_exact_check():
+    import pyarrow as pa
+    r = random.Random(11)
+    text = lambda n: "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(n))
+    items = [(i, text(r.randint(100, 300))) for i in range(30)] + [(30, text(18))]
+    docs = [text(r.randrange(40)) + "".join("々" if k % n == n - 1 else c for k, c in enumerate(t)) + text(50) for n in (14, 15, 16, 17, 18) for _, t in items[:30]]
+    docs += ["".join(t[k : k + n] + text(r.randint(5, 9)) for k in range(0, len(t), n)) for n in (12, 13, 15, 18) for _, t in items[:30]]
+    docs.append(text(31) + items[30][1][3:15] + text(20))
+    b = pa.RecordBatch.from_pydict({"doc_id": list(range(len(docs))), "text": docs})
+    got = {(x["doc_id"], x["item_id"]) for x in next(leakage._search(items, 0.5)([b])).to_pylist()}
+    assert got >= {(d, d % 30) for d in range(270)} | {(270, 30)}
+    index = leakage._Index(items)
+    shingles = [np.sort(leakage._grams(leakage._codes(t), leakage.SHINGLE)) for t in docs]
+    assert got == {(d, o) for d, g in enumerate(shingles) for o in range(len(items)) if index.similarity(o, g) >= 0.5}
+
+
 def test_item_blocks_give_the_same(spark, monkeypatch):
     items = [(i, "".join(chr(0x4E00 + (i * 97 + k * 31) % 5000) for k in range(80))) for i in range(9)]
     d = spark.createDataFrame([(1, items[2][1] + items[7][1])], "doc_id bigint, text string")
