@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,15 +110,39 @@ def sense_fit(occurrences: DataFrame, senses: DataFrame, prof: DataFrame, smooth
     return fit.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def split_parts(word: Column, parts: list[str]) -> Column:
-    """Greedy longest-match split of a word into two or more of the given parts; null if it can't be split."""
-    pattern = "(?:" + "|".join(sorted(map(_quoted, parts), key=lambda x: (-len(x), x))) + ")"
-    whole = word.rlike(f"^{pattern}{{2,}}$")
-    return F.when(whole, F.regexp_extract_all(word, F.lit(pattern), F.lit(0)))
+def frequent_parts(counts: DataFrame, min_rate: float = 5.0) -> DataFrame:
+    """term, n: terms of two or more characters with at least min_rate of a million of all counts; at most 10**6 / min_rate.
+
+    counts: term, total; nulls and counts not above 0 are left out.
+    """
+    c = counts.where("term is not null and total > 0").groupBy("term").agg(F.sum("total").alias("n"))
+    least = F.lit(min_rate) * F.col("t")
+    return c.join(F.broadcast(c.agg(F.sum("n").alias("t")))).where((F.length("term") >= 2) & (F.col("n") * F.lit(1e6) >= least)).select("term", "n")
 
 
-def _quoted(s: str) -> str:
-    return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+def split_parts(word: Column, parts: list[str]) -> Column:
+    """Greedy longest-match split of a word into two or more of the given parts; null if that leads to no split.
+
+    At every place the longest part is taken and never given back.
+    """
+    known = frozenset(parts) - {None, ""}
+    sizes = sorted({len(x) for x in known}, reverse=True)
+
+    def split(w: str | None) -> list[str] | None:
+        out, i = [], 0
+        while w and i < len(w):
+            n = next((n for n in sizes if i + n <= len(w) and w[i : i + n] in known), 0)
+            if not n:
+                return None
+            out.append(w[i : i + n])
+            i += n
+        return out if len(out) >= 2 else None
+
+    def run(words: pa.Array) -> pa.Array:
+        return pa.array(map(split, words.to_pylist()), pa.list_(pa.string()))
+
+    run.__annotations__ = {"words": pa.Array, "return": pa.Array}  # the names above are strings, which Spark doesn't resolve
+    return F.arrow_udf(run, "array<string>")(word)
 
 
 def with_samples(rows: DataFrame, samples: int) -> DataFrame:

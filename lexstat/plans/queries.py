@@ -712,10 +712,9 @@ def flattened_entries(s: SparkSession, d: str) -> DataFrame:
 
 @query()
 def compound_splits(s: SparkSession, d: str) -> DataFrame:
-    """Words cut greedily into the 200 most frequent components."""
-    t = table(s, d, "term_counts").where("kind = 'component' and total > 0 and term is not null and length(term) >= 2")
-    parts = [r[0] for r in t.groupBy("term").agg(F.sum("total").alias("n")).orderBy(F.desc("n"), "term").limit(200).select("term").collect()]
-    w = table(s, d, "run_lines").where("term is not null").select("term").distinct()
+    """Words cut greedily into components of at least 5 per million."""
+    parts = [r[0] for r in substitution.frequent_parts(table(s, d, "term_counts").where("kind = 'component'")).select("term").collect()]
+    w = spread(table(s, d, "run_lines").where("term is not null").select("term").distinct(), "term")
     return w.select("term", substitution.split_parts(F.col("term"), parts).alias("parts")).where("parts is not null")
 
 

@@ -73,6 +73,20 @@ def test_greedy_parts(spark):
     assert got == [["ビット", "マップ"], None, None]
 
 
+def test_every_part_over_the_rate_splits(spark):
+    counts = [(f"部{chr(0x4E00 + k)}", 1000 + k) for k in range(300)] + [("稀語", 1), ("単", 10**6), (None, 9), ("零語", 0), ("負語", -5)]
+    parts = [r[0] for r in substitution.frequent_parts(spark.createDataFrame(counts, "term string, total bigint"), 5.0).collect()]
+    assert sorted(parts) == sorted(t for t, n in counts[:300])
+    words = ["部一部丁", "部一稀語", "部一単"]
+    got = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w string").select(substitution.split_parts(F.col("w"), parts)).collect()]
+    assert got == [["部一", "部丁"], None, None]
+
+
+def test_no_part_is_given_back(spark):
+    df = spark.createDataFrame([("abcd",), ("abcabc",), ("abc",), ("",), (None,)], "w string")
+    assert [r[0] for r in df.select(substitution.split_parts(F.col("w"), ["ab", "abc", "cd", "c"])).collect()] == [None, ["abc", "abc"], None, None, None]
+
+
 def test_wilson_and_matrix(spark):
     lo, hi = evals.wilson(F.col("k"), F.col("n"))
     got = [tuple(r) for r in spark.createDataFrame([(0, 0), (9, 74)], "k bigint, n bigint").select(lo, hi).collect()]
