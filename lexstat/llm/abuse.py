@@ -30,6 +30,8 @@ WORDS, PAIRS, DIM, HIDDEN, ATTEND = 1 << 15, 1 << 14, 16, 12, 8
 MAX_POSITIVE, MAX_NEGATIVE, MAX_SPARE = 800, 2000, 2000
 #: Score from which a document counts; over a half, as the second stage of training sees more positives than a corpus holds.
 CUT = 0.65
+#: Letters of a token at most.
+PIECE = 12
 #: Windows of a document that the second stage of training takes.
 KEEP = 3
 
@@ -42,11 +44,17 @@ _RUN = re.compile(r"(.)\1{2,}")
 
 
 def tokens(text: str) -> list[str]:
-    """Words, runs of one script, and quotation and exclamation marks; spaced-out and stretched spellings are closed up."""
+    """Words, runs of one script, and quotation and exclamation marks; spaced-out and stretched spellings are closed up.
+
+    Longer ones than PIECE letters (unspaced writing) come in pieces that overlap by a letter, so that no character pair is lost.
+    """
     t = unicodedata.normalize("NFKC", text).lower()
     t = _SPACED.sub(lambda m: _MARKS.sub("", m[0]), t)
     t = _INSIDE.sub("", t)
-    return _TOKEN.findall(_RUN.sub(r"\1", t))
+    out = _TOKEN.findall(_RUN.sub(r"\1", t))
+    if max(map(len, out), default=0) > PIECE:
+        out = [x for w in out for x in ([w] if len(w) <= PIECE or w.isdigit() else [w[i : i + PIECE] for i in range(0, len(w) - 1, PIECE - 1)])]
+    return out
 
 
 def _hash(s: str) -> int:
@@ -57,7 +65,7 @@ def features(token: str) -> tuple[int, list[int]]:
     """Rows of the word table and of the character pair table; digits all look alike."""
     if token.isdigit():
         token = "0" * min(len(token), 4)
-    t = f"<{token[:12]}>"
+    t = f"<{token}>"
     return _hash(token) % WORDS, [_hash(t[i : i + 2]) % PAIRS for i in range(len(t) - 1)]
 
 

@@ -367,6 +367,23 @@ def test_tokens_close_up_disguises():
     assert abuse.tokens("") == []
 
 
+@pytest.mark.parametrize("first,n", [(0x4E00, 13), (0x4E00, 100), (0x3042, 40), (0x30A2, 23), (ord("a"), 24), (0x0E81, 40)])
+def test_no_character_pair_of_a_long_run_is_lost(first, n):
+    run = "".join(c for c in map(chr, range(first, first + n)) if c.isalpha())
+    own = {p for t in abuse.tokens(run) for p in abuse.features(t)[1]}
+    assert all(abuse._hash(run[i : i + 2]) % abuse.PAIRS in own for i in range(len(run) - 1))
+    assert abuse.tokens("1234567890123456") == ["1234567890123456"]
+
+
+def test_the_tail_of_a_run_moves_the_score_by_its_characters():
+    import pyarrow as pa
+    model = abuse.Model()
+    model.p["word"][:] = 0
+    head = "".join(map(chr, range(0x5000, 0x5020)))
+    out = next(iter(abuse._score(model.p)([pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [head + "滚出去死", head + "好好学习"]})])))
+    assert out.column(1)[0] != out.column(1)[1]
+
+
 def test_scores_of_awkward_documents(spark):
     texts, y = corpus(60)
     docs = [(i, t, "A " if i % 2 else None, 1.0) for i, t in enumerate(texts)] + [(100, None, "a", 1.0), (101, "", "a", 1.0), (102, "。。。", "a", 1.0), (103, "消えろ" * 20_000, "a", 1.0), (None, "x", "a", 1.0)]
