@@ -75,11 +75,21 @@ def cosines(a: DataFrame, b: DataFrame) -> DataFrame:
         "word_a", "word_b", F.round(F.col("dot") / (F.col("la") * F.col("lb")), 9).alias("cosine"))
 
 
-def split_senses(groups: DataFrame, prof: DataFrame, most: float = 0.15) -> DataFrame:
+def _frequent(names: DataFrame, col: str, totals: DataFrame | None, least: int) -> DataFrame:
+    """Rows whose `col` occurs at least `least` times by totals (word, total); all rows without totals."""
+    if totals is None:
+        return names
+    n = totals.where("word is not null").groupBy(F.col("word").alias(col)).agg(F.sum("total").alias("_t"))
+    return names.join(n.where(F.col("_t") >= least).select(col), col, "left_semi")
+
+
+def split_senses(groups: DataFrame, prof: DataFrame, most: float = 0.15, totals: DataFrame | None = None, min_occurrences: int = 100) -> DataFrame:
     """word, loan_a, loan_b, cosine: words two of whose loanwords have hardly a context in common.
 
     groups: word, loanword; prof: profiles of loanwords. Of a word's pairs the least similar one comes out, ties by name.
+    totals: word, total, the occurrences of loanwords; with it, only those with min_occurrences are compared.
     """
+    groups = _frequent(groups, "loanword", totals, min_occurrences)
     norms = prof.groupBy(F.col("word").alias("loanword")).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("l"))
     g = groups.select("word", "loanword").distinct().join(norms, "loanword")
     pairs = g.select("word", F.col("loanword").alias("loan_a"), F.col("l").alias("la")).join(
@@ -110,6 +120,47 @@ def sense_fit(occurrences: DataFrame, senses: DataFrame, prof: DataFrame, smooth
     return fit.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def judged_senses(
+    occurrences: DataFrame, senses: DataFrame, field: DataFrame, general: DataFrame, totals: DataFrame, vocabulary: int = 51313, smoothing: float = 0.5,
+    min_occurrences: int = 50, fit_margin: float = 0.0, max_support: float = 1.0,
+) -> DataFrame:
+    """occ_id, word, loanword, fit, own, margin, support, flagged: in which sense each occurrence is used, and if that replaces a loanword.
+
+    fit: the greatest mean log probability of the context in the field's profile of one of the word's loanwords that have
+    min_occurrences; ties go to the smaller name. own: that in the word's own general profile. support: cosine of the
+    loanword's field and the word's general profile, 0 without a common context. flagged: fit - own > fit_margin and
+    support < max_support, of unrounded values.
+
+    occurrences: occ_id, word, context (array, a repeated word counts each time); senses: word, loanword; field, general:
+    profiles (word, context, n); totals: word, total, the field's occurrences. Occurrences without context words, or whose
+    word has no loanword that is frequent enough, are left out.
+    """
+    def mean_fit(c: DataFrame, prof: DataFrame, key: str, name: str) -> DataFrame:
+        p = prof.groupBy(F.col("word").alias(key), "context").agg(F.sum("n").alias("n"))
+        t = p.groupBy(key).agg(F.sum("n").alias("t"))
+        s = F.lit(smoothing)
+        lp = F.log((F.coalesce("n", F.lit(0)) + s) / (F.coalesce("t", F.lit(0)) + s * F.lit(vocabulary)))
+        ids = list(dict.fromkeys(["occ_id", "word", key]))
+        return c.join(p, [key, "context"], "left").join(t, key, "left").groupBy(*ids).agg(F.avg(lp).alias(name))
+
+    g = _frequent(senses.select("word", "loanword").where("word is not null and loanword is not null").distinct(), "loanword", totals, min_occurrences)
+    c = occurrences.select("occ_id", "word", F.explode("context").alias("context")).where("context is not null")
+    w = Window.partitionBy("occ_id", "word").orderBy(F.desc("fit"), "loanword")
+    best = mean_fit(c.join(g, "word"), field, "loanword", "fit").withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    norm = lambda p, key, as_: p.groupBy(F.col("word").alias(key)).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias(as_))
+    one = lambda p: p.groupBy("word", "context").agg(F.sum("n").alias("n"))
+    f, o = one(field), one(general)
+    x = g.join(f.select(F.col("word").alias("loanword"), "context", F.col("n").alias("a")), "loanword").join(
+        o.select("word", "context", F.col("n").alias("b")), ["word", "context"])
+    cos = x.groupBy("word", "loanword").agg(F.sum(F.col("a") * F.col("b")).alias("dot")).join(norm(f, "loanword", "la"), "loanword").join(norm(o, "word", "lb"), "word")
+    cos = cos.select("word", "loanword", (F.col("dot") / (F.col("la") * F.col("lb"))).alias("support"))
+    j = best.join(mean_fit(c, general, "word", "own"), ["occ_id", "word"]).join(cos, ["word", "loanword"], "left").withColumn("support", F.coalesce("support", F.lit(0.0)))
+    margin = F.col("fit") - F.col("own")
+    flagged = (margin > fit_margin) & (F.col("support") < max_support)
+    return j.select("occ_id", "word", "loanword", F.round("fit", 3).alias("fit"), F.round("own", 3).alias("own"), F.round(margin, 3).alias("margin"),
+                    F.round("support", 3).alias("support"), flagged.alias("flagged"))
+
+
 def frequent_parts(counts: DataFrame, min_rate: float = 5.0) -> DataFrame:
     """term, n: terms of two or more characters with at least min_rate of a million of all counts; at most 10**6 / min_rate.
 

@@ -67,6 +67,45 @@ def test_sense_fit_takes_the_likelier_sense(spark):
     assert {r["occ_id"]: r["sense"] for r in substitution.sense_fit(occ, senses, prof).collect()} == {1: "s1", 2: "s2"}
 
 
+def test_rare_loanwords_split_no_sense(spark):
+    g = spark.createDataFrame([("w", "rare"), ("w", "x"), ("w", "y")], "word string, loanword string")
+    p = spark.createDataFrame([("x", "a", 100), ("x", "b", 10), ("y", "b", 100), ("y", "a", 10), ("rare", "c", 1)], "word string, context string, n bigint")
+    t = spark.createDataFrame([("x", 60), ("x", 40), ("y", 100), ("rare", 99)], "word string, total bigint")
+    got = [(r["loan_a"], r["loan_b"]) for r in substitution.split_senses(g, p, 0.5, t).collect()]
+    assert got == [("x", "y")]
+    assert substitution.split_senses(g, p, 0.15, t).collect() == []
+
+
+def test_senses_are_judged_against_the_own_use(spark):
+    import math
+    occ = [(1, "w", ["a", "a", "z"]), (2, "w", ["c"]), (3, "w", []), (4, "v", ["a"]), (5, "u", ["a"]), (6, "w", ["d", None])]
+    o = spark.createDataFrame(occ, "occ_id bigint, word string, context array<string>")
+    senses = spark.createDataFrame([("w", "s1"), ("w", "s2"), ("w", "rare"), ("v", "rare"), ("u", "s1")], "word string, loanword string")
+    field = {"s1": {"a": 30, "b": 10}, "s2": {"d": 40}, "rare": {"a": 99, "c": 99}}
+    general = {"w": {"c": 20, "d": 5}}
+    prof = lambda x: spark.createDataFrame([(w, c, n) for w, cs in x.items() for c, n in cs.items()], "word string, context string, n bigint")
+    totals = spark.createDataFrame([("s1", 50), ("s2", 80), ("rare", 49)], "word string, total bigint")
+
+    def mean(p, cs):
+        return sum(math.log((p.get(c, 0) + 0.5) / (sum(p.values()) + 0.5 * 100)) for c in cs) / len(cs)
+
+    def cos(a, b):
+        return sum(a[k] * b.get(k, 0) for k in a) / (math.hypot(*a.values()) * math.hypot(*b.values())) if b else 0.0
+
+    for margin, support in ((0.0, 1.0), (0.0, 0.1), (1.5, 1.0)):
+        got = {r["occ_id"]: r for r in substitution.judged_senses(o, senses, prof(field), prof(general), totals, 100, fit_margin=margin, max_support=support).collect()}
+        assert set(got) == {1, 2, 5, 6}
+        for i, w, cs in occ:
+            if i in got:
+                cs = [c for c in cs if c]
+                fit, loan = max((mean(field[s], cs), s) for s in (["s1"] if w == "u" else ["s1", "s2"]))
+                own, sup = mean(general.get(w, {}), cs), cos(field[loan], general.get(w, {}))
+                assert (got[i]["loanword"], got[i]["fit"], got[i]["own"]) == (loan, pytest.approx(fit, abs=6e-4), pytest.approx(own, abs=6e-4)) or i == 2
+                if i != 2:
+                    assert (got[i]["support"], got[i]["flagged"]) == (pytest.approx(sup, abs=6e-4), fit - own > margin and sup < support)
+        assert (got[2]["loanword"], got[2]["flagged"]) == ("s1", False)
+
+
 def test_greedy_parts(spark):
     df = spark.createDataFrame([("ビットマップ",), ("ビット",), ("ビットxマップ",)], "w string")
     got = [r[0] for r in df.select(substitution.split_parts(F.col("w"), ["ビット", "マップ", "ビ", "a.b"])).collect()]
