@@ -132,19 +132,31 @@ def _judged(spark: SparkSession, a: argparse.Namespace, words: DataFrame) -> Dat
     read = lambda n: spark.read.parquet(os.path.join(a.artifacts_dir, n))
     dom = read("domains") if os.path.exists(os.path.join(a.artifacts_dir, "domains")) else None
     units = spark.read.parquet(os.path.join(a.counts_dir, "compounds")) if a.counts_dir else None
-    rule = a.concatenation if a.concatenation != "composition" or units is not None else "off"
-    return judge.judged(words, read("buckets"), read("components"), dom, units, a.threshold, rule, a.upper, a.lower, a.document_domain)
+    return judge.judged(words, read("buckets"), read("components"), dom, units, a.threshold, a.concatenation, a.upper, a.lower, a.document_domain)
+
+
+#: Rows of a written table that a command shows.
+PREVIEW = 20
+
+
+def _put(spark: SparkSession, a: argparse.Namespace, rows: DataFrame, name: str) -> None:
+    """All rows as a table in --out-dir, else beside the artifacts, and the first of them on the screen."""
+    path = os.path.join(a.out_dir or a.artifacts_dir, name)
+    rows.write.mode("overwrite").parquet(path)
+    spark.read.parquet(path).orderBy("word").show(PREVIEW, False)
 
 
 def judge_words(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.concatenation == "composition" and not a.counts_dir:
+        raise ValueError("--concatenation composition needs --counts-dir")
     words = spark.createDataFrame([(w,) for w in a.words], "word string") if a.words else readers.target_words(spark, a.eval)
-    _judged(spark, a, words).orderBy("word").show(10_000, False)
+    _put(spark, a, _judged(spark, a, words), "judgments")
 
 
 def query_words(spark: SparkSession, a: argparse.Namespace) -> None:
     read = lambda n: spark.read.parquet(os.path.join(a.artifacts_dir, n))
-    judge.lookup(spark.createDataFrame([(w,) for w in a.words], "word string"), read("buckets"), read("components")).select(
-        "word", F.coalesce(F.col("bucket").cast("string"), F.lit("未登録")).alias("bucket"), "parts").show(10_000, False)
+    found = judge.lookup(spark.createDataFrame([(w,) for w in a.words], "word string"), read("buckets"), read("components"))
+    _put(spark, a, found.select("word", F.coalesce(F.col("bucket").cast("string"), F.lit("未登録")).alias("bucket"), "parts"), "lookups")
 
 
 def topic_distribution(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -199,6 +211,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--general-min-total", type=int)
     c.add_argument("--version", default="")
     c = command("judge", judge_words)
+    c.set_defaults(out_dir=None)
     c.add_argument("words", nargs="*")
     c.add_argument("--eval")
     c.add_argument("--artifacts-dir", required=True)
@@ -209,6 +222,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--lower", type=int, default=judge.LOWER)
     c.add_argument("--document-domain", type=int, choices=[k for k in domains.DOMAINS if k != domains.GENERAL])
     c = command("query", query_words)
+    c.set_defaults(out_dir=None)
     c.add_argument("words", nargs="+")
     c.add_argument("--artifacts-dir", required=True)
     command("topic-distribution", topic_distribution, dump_only=True).add_argument("--words-file", required=True)

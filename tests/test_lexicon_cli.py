@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lexstat import cli
@@ -79,3 +80,22 @@ def test_commands(spark, tmp_path, capsys):
     (tmp_path / "lex.csv").write_text("暗号,1,1,1,x,名詞,普通名詞\n東京,1,1,1,x,名詞,固有名詞\n")
     run("dictionary-headwords", "--lexicon-dir", tmp_path / "lex.csv", "--out-dir", out)
     assert [r["key"] for r in spark.read.parquet(str(out / "headwords")).collect()] == ["暗号"]
+
+
+def test_all_judgments_are_written(spark, tmp_path, capsys):
+    run = lambda *a: (lambda ns: ns.run(spark, ns))(cli.parser().parse_args(list(map(str, a))))
+    (tmp_path / "c.json").write_text("".join(json.dumps({"namespace": 0, "page_id": i, "title": "題", "text": "公開鍵暗号を使う。公開鍵暗号方式。", "weighted_tags": []}, ensure_ascii=False) + "\n" for i in range(4)))
+    out = tmp_path / "out"
+    run("count", "--dump", tmp_path / "c.json", "--out-dir", out)
+    art = tmp_path / "art"
+    run("build", "--counts-dir", out, "--out-dir", art, "--counts-weight", 1)
+    words = [f"語{k}" for k in range(10_050)]
+    (tmp_path / "w.txt").write_text("".join(w + "\n" for w in words))
+    to = tmp_path / "to"
+    run("judge", "--eval", tmp_path / "w.txt", "--artifacts-dir", art, "--out-dir", to)
+    assert {r["word"] for r in spark.read.parquet(str(to / "judgments")).collect()} == set(words)
+    run("query", *words[:30], "--artifacts-dir", art, "--out-dir", to)
+    assert spark.read.parquet(str(to / "lookups")).count() == 30
+    assert words[0] in capsys.readouterr().out
+    with pytest.raises(ValueError):
+        run("judge", "公開鍵", "--artifacts-dir", art, "--out-dir", to, "--concatenation", "composition")
