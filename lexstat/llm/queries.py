@@ -96,17 +96,25 @@ def p9_shares(s: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.plan(table(s, d, "documents"), table(s, d, "mix_targets")))
 
 
+def _scored(s: SparkSession, d: str) -> tuple[DataFrame, dict[str, float]]:
+    docs = table(s, d, "documents")
+    fitted = abuse.fit(docs, table(s, d, "content_labels"))
+    scored = staged(abuse.scores(docs, fitted))
+    return scored, abuse.cuts(scored, fitted)
+
+
 def p10_found(s: SparkSession, d: str) -> DataFrame:
-    return abuse.found(p10_scores(s, d))
+    return abuse.found(*_scored(s, d))
 
 
 def p10_scores(s: SparkSession, d: str) -> DataFrame:
-    return abuse.scores(table(s, d, "documents"), table(s, d, "content_labels"))
+    docs = table(s, d, "documents")
+    return abuse.scores(docs, abuse.fit(docs, table(s, d, "content_labels")))
 
 
 def p10_rates(s: SparkSession, d: str) -> DataFrame:
-    docs = table(s, d, "documents")
-    return abuse.source_rates(staged(abuse.scores(docs, table(s, d, "content_labels"))), docs)
+    scored, cut = _scored(s, d)
+    return abuse.source_rates(scored, table(s, d, "documents"), cut)
 
 
 def queries() -> dict[str, Query]:
