@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .functions.markup import flatten_text
 from .operators import build, counts, domains, features, judge
-from .session import get_spark
+from .session import exists, get_spark
 from .sources import readers, sinks
 
 #: Defaults of build and judge.
@@ -113,9 +113,9 @@ def build_artifacts(spark: SparkSession, a: argparse.Namespace) -> None:
     parts = build.components(union("components", "part").withColumnRenamed("key", "part"), partners, a.min_component_count)
     sinks.write_artifact(parts, _out(a, "components"), "part")
     have = [os.path.join(p, "domains") for _, p, _ in inputs]
-    if all(os.path.exists(p) for p in have):
+    if all(exists(spark, p) for p in have):
         pairs = _all([spark.read.parquet(p) for p in have]).groupBy("word", "domain").agg(F.sum("docs").alias("docs"))
-        reg = (domains.register_by_share(pairs, a.domain_share_threshold, a.domain_min_count, general_min_total=a.general_min_total) if a.domain_share_threshold
+        reg = (domains.register_by_share(pairs, a.domain_share_threshold, general_min_total=a.general_min_total) if a.domain_share_threshold
                else domains.register_by_count(pairs, a.domain_min_count, a.general_threshold))
         sinks.write_artifact(reg, _out(a, "domains"), "word")
     sinks.write_stats(build.manifest(spark.read.parquet(_out(a, "buckets")), spark.read.parquet(_out(a, "components")), weights, a.version), _out(a, "manifest.json"))
@@ -130,7 +130,7 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 
 def _judged(spark: SparkSession, a: argparse.Namespace, words: DataFrame) -> DataFrame:
     read = lambda n: spark.read.parquet(os.path.join(a.artifacts_dir, n))
-    dom = read("domains") if os.path.exists(os.path.join(a.artifacts_dir, "domains")) else None
+    dom = read("domains") if exists(spark, os.path.join(a.artifacts_dir, "domains")) else None
     units = spark.read.parquet(os.path.join(a.counts_dir, "compounds")) if a.counts_dir else None
     return judge.judged(words, read("buckets"), read("components"), dom, units, a.threshold, a.concatenation, a.upper, a.lower, a.document_domain)
 

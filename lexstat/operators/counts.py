@@ -33,8 +33,12 @@ def compound_rows(docs: DataFrame, keep: list[str], unknown: bool = False, bridg
 def compound_counts(docs: DataFrame, by_document: bool = False, unknown: bool = False, id_col: str = "doc_id", **kw) -> DataFrame:
     """key, cnt: how often each compound key occurs, or in how many documents.
 
-    Null and empty texts count nothing; documents with a null id count as one. Ordered by nothing.
+    Null and empty texts count nothing; documents with a null id count as one. Ordered by nothing. Occurrences are
+    counted by distinct span first and then spread over the keys of each.
     """
+    if not by_document and not unknown and kw.get("provider", regex_morphemes) is regex_morphemes:
+        per = surface_rows(docs, [], **kw).where(F.size("surfaces") >= 2).groupBy("surfaces").agg(F.count(F.lit(1)).alias("_n"))
+        return rows_of(per, ["_n"], surface_keys(F.col("surfaces")), "key").groupBy("key").agg(F.sum("_n").alias("cnt"))
     rows = compound_rows(docs, [id_col], unknown, **kw)
     return (rows.distinct() if by_document else rows).groupBy("key").agg(F.count(F.lit(1)).alias("cnt"))
 

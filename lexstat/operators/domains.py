@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Domain codes and names.
-DOMAINS = {1: "情報技術", 2: "その他の理工", 3: "一般", 4: "文化", 5: "地理", 6: "行政", 7: "法令", 8: "総合"}
-#: The score from which a tag counts.
-MIN_SCORE = 500
+DOMAINS = {1: "情報技術", 2: "その他の理工", 3: "文化", 4: "地理", 5: "社会", 6: "行政", 7: "法令", 8: "一般"}
+#: The score from which a tag counts, the least documents of a word registered by share, and the number of
+#: domains that makes it general.
+MIN_SCORE, MIN_TOTAL, GENERAL_DOMAINS = 500, 5, 3
 GENERAL = 8
 LAW_STYLE = "法令文"
-#: Topic names and prefixes of each article domain.
-TOPIC_RULES = ((1, ("STEM.Computing", "STEM.Technology")), (2, ("STEM.",)), (4, ("Culture.",)), (5, ("Geography.",)), (6, ("History_and_Society.", "History and Society.")))
+#: Topics of information technology, and how the topics of the other article domains begin.
+TECHNOLOGY = ("STEM.Computing", "STEM.Technology")
+TOPIC_STARTS = {2: "STEM", 3: "Culture", 4: "Geography", 5: "History_and_Society"}
 
 
 def tag_score(tag: Column) -> tuple[Column, Column]:
@@ -24,15 +26,18 @@ def tag_score(tag: Column) -> tuple[Column, Column]:
 
 
 def topic_domain(topic: Column) -> Column:
-    out = F.lit(None).cast("int")
-    for code, prefixes in reversed(TOPIC_RULES):
-        hit = F.lit(False)
-        for p in prefixes:
-            hit = hit | topic.startswith(p)
-        out = F.when(hit, code).otherwise(out)
+    out = F.when(topic.isin(*TECHNOLOGY), 1)
+    for code, start in TOPIC_STARTS.items():
+        out = out.when(topic.startswith(start), code)
     return out
 
 
+def domain_labels(domains: Column) -> Column:
+    """Names of an array of domain codes in code order, joined by ・."""
+    names = F.create_map(*[F.lit(x) for kv in DOMAINS.items() for x in kv])
+    return F.array_join(F.transform(F.array_sort(domains), lambda c: F.try_element_at(names, c)), "・")
+
+
 def tag_domains(tags: Column, min_score: int = MIN_SCORE) -> Column:
     """Sorted distinct domain codes of an article's tags with enough score; null tags give an empty array."""
     def one(t: Column) -> Column:
@@ -88,23 +93,24 @@ def register_by_count(pairs: DataFrame, min_docs: int = 5, general_threshold: in
     return _folded(pairs.where(F.col("docs") >= min_docs), general_threshold)
 
 
-def register_by_share(pairs: DataFrame, share: float = 0.2, min_docs: int = 5, general_threshold: int = 3, general_min_total: int | None = None) -> DataFrame:
-    """word, domain: domains that hold at least `share` of the word's documents, of words with min_docs documents.
+def register_by_share(pairs: DataFrame, share: float = 0.2, min_total: int = MIN_TOTAL, general_domains: int = GENERAL_DOMAINS, general_min_total: int | None = None) -> DataFrame:
+    """word, domain: domains that hold at least `share` of the sum of the word's documents over domains.
 
-    general_min_total: words with fewer documents in all than that, but several domains, fall to the general one.
+    Words of fewer than min_total are left out. General alone are words of general_min_total or more (looked at first),
+    of general_domains or more domains, and those no domain of which has its share.
     """
-    total = pairs.groupBy("word").agg(F.sum("docs").alias("total"))
-    d = pairs.join(total, "word").where((F.col("docs") >= F.lit(share) * F.col("total")) & (F.col("total") >= min_docs))
-    return _folded(d, general_threshold, general_min_total)
+    g = pairs.where("word is not null").groupBy("word", "domain").agg(F.sum("docs").alias("docs")).groupBy("word").agg(
+        F.sum("docs").alias("total"), F.collect_list(F.struct("domain", "docs")).alias("per"))  # at most eight domains a word
+    ds = F.array_sort(F.transform(F.filter("per", lambda x: x["docs"] >= F.lit(share) * F.col("total")), lambda x: x["domain"]))
+    general = (F.size(ds) == 0) | (F.size(ds) >= general_domains)
+    if general_min_total is not None:
+        general = general | (F.col("total") >= general_min_total)
+    return g.where(F.col("total") >= min_total).select("word", F.explode(F.when(general, F.array(F.lit(GENERAL))).otherwise(ds)).alias("domain"))
 
 
-def _folded(d: DataFrame, general_threshold: int, general_min_total: int | None = None) -> DataFrame:
-    aggs = [F.array_sort(F.collect_set("domain")).alias("ds")] + ([F.first("total").alias("total")] if general_min_total is not None else [])
-    g = d.groupBy("word").agg(*aggs)  # at most eight domains a word
-    many = F.size("ds") >= general_threshold
-    if general_min_total is not None:
-        many = many | ((F.size("ds") >= 2) & (F.col("total") < general_min_total))
-    return g.select("word", F.explode(F.when(many, F.array(F.lit(GENERAL))).otherwise(F.col("ds"))).alias("domain"))
+def _folded(d: DataFrame, general_threshold: int) -> DataFrame:
+    g = d.groupBy("word").agg(F.array_sort(F.collect_set("domain")).alias("ds"))  # at most eight domains a word
+    return g.select("word", F.explode(F.when(F.size("ds") >= general_threshold, F.array(F.lit(GENERAL))).otherwise(F.col("ds"))).alias("domain"))
 
 
 def domain_bits(domain: Column) -> Column:
@@ -127,21 +133,21 @@ def _blocks(words: DataFrame) -> Iterator[list[str]]:
         yield block
 
 
-def word_hits(docs: DataFrame, words: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """id, word: which of the words each text holds, overlapping hits included, each word once a text.
+def word_hits(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, keep, word: which of the words each text holds, overlapping hits included, each word once a text.
 
     The words are a stated set: blocks of WORD_BLOCK of them become an automaton that reads every text once. words: word,
     distinct and not empty. Null texts hold nothing.
     """
-    texts = docs.where("text is not null").select(id_col, "text")
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = docs.sparkSession.createDataFrame([], f"`{id_col}` {kind}, word string")
+    texts = docs.where("text is not null").select("text", id_col, *keep)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema[1:]) + ", word string"
+    found = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(words):
-        found = found.unionByName(texts.mapInArrow(_automaton(block, id_col), f"`{id_col}` {kind}, word string"))
+        found = found.unionByName(texts.mapInArrow(_automaton(block), schema))
     return found
 
 
-def _automaton(block: list[str], id_col: str):
+def _automaton(block: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
         a = ahocorasick.Automaton()
@@ -150,11 +156,12 @@ def _automaton(block: list[str], id_col: str):
         a.make_automaton()
         for b in batches:
             at, out = [], []
-            for i, t in enumerate(b.column(1).to_pylist()):
+            for i, t in enumerate(b.column(0).to_pylist()):
                 hits = {w for _, w in a.iter(t)}
                 at += [i] * len(hits)
                 out += hits
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(out, pa.string())], names=[id_col, "word"])
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in b.columns[1:]), pa.array(out, pa.string())], names=[*b.schema.names[1:], "word"])
     return run
 
 
@@ -164,9 +171,9 @@ def topic_distribution(docs: DataFrame, words: DataFrame, id_col: str = "doc_id"
     docs: id (unique), text, domains; words: word. it_share has four digits, null where no article holds the word.
     """
     w = words.where("word is not null and word <> ''").select("word").distinct()
-    hits = word_hits(docs, w, id_col).join(docs.select(id_col, "domains"), id_col)
-    agg = hits.groupBy("word").agg(
-        F.count(F.lit(1)).alias("articles"), *[F.count_if(F.array_contains("domains", F.lit(c))).alias(f"d{c}") for c in (1, 2, 4, 5, 6)])
+    codes = sorted({1, *TOPIC_STARTS})
+    agg = word_hits(docs, w, id_col, ("domains",)).groupBy("word").agg(
+        F.count(F.lit(1)).alias("articles"), *[F.count_if(F.array_contains("domains", F.lit(c))).alias(f"d{c}") for c in codes])
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return w.join(agg, "word", "left").select(
-        "word", zero("articles"), *[zero(f"d{c}") for c in (1, 2, 4, 5, 6)], F.round(F.col("d1") / F.col("articles"), 4).alias("it_share"))
+        "word", zero("articles"), *[zero(f"d{c}") for c in codes], F.round(F.col("d1") / F.col("articles"), 4).alias("it_share"))

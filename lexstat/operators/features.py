@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 #: Smoothing of novelty and its floor outside novelty groups.
 ALPHA, FLOOR = 20.0, 1e-9
 
@@ -136,17 +138,49 @@ def scored(rows: DataFrame, model: dict, id_col: str) -> DataFrame:
     return rows.select(id_col, *[F.col(f).cast("double") for f in feats]).mapInPandas(run, f"`{id_col}` {kind}, score double")
 
 
+#: Bins of a score range in the search for a place.
+BINS = 4096
+
+
 def score_line(scores: DataFrame, per_mb: float, megabytes: float) -> DataFrame:
-    """line: the score of place floor(per_mb * megabytes) (from 0) in descending order; null if there are fewer."""
+    """line: the score of place floor(per_mb * megabytes) (from 0) in descending order; null if there are fewer.
+
+    Null and NaN scores have no place. Counts over bins narrow the range that holds the place down to one score or to
+    few rows, so no task sorts more than those.
+    """
     k = int(per_mb * megabytes)
-    return scores.orderBy(F.desc("score")).limit(k + 1).agg(F.when(F.count(F.lit(1)) == k + 1, F.min("score")).alias("line"))
+    d = scores.select(F.col("score").cast("double")).where("score is not null and not isnan(score)")
+    low, high, n = d.agg(F.min("score"), F.max("score"), F.count(F.lit(1))).first()
+    spark = scores.sparkSession
+    if n <= k:
+        return spark.createDataFrame([(None,)], "line double")
+    while n > BINS and low < high:
+        width = (high - low) / BINS
+        if not low + width > low or width == float("inf"):
+            break  # neighbouring doubles
+        inside = d.where(F.col("score").between(low, high))
+        at = F.least(F.floor((F.col("score") - low) / width), F.lit(BINS - 1)).alias("bin")
+        for r in inside.groupBy(at).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high")).orderBy(F.desc("bin")).collect():
+            if k < r["n"]:
+                low, high, n = r["low"], r["high"], r["n"]
+                break
+            k -= r["n"]
+    if low == high:
+        return spark.createDataFrame([(low,)], "line double")
+    return d.where(F.col("score").between(low, high)).orderBy(F.desc("score")).limit(k + 1).agg(F.min("score").alias("line"))
 
 
 def levels(rows: DataFrame, col: str) -> DataFrame:
-    """value, code: the distinct non-null values in order, coded from 0."""
+    """value, code: the distinct non-null values in order, coded from 0.
+
+    Sorted by ranges; places within a range are added to the sizes of the ranges before it.
+    """
     from pyspark.sql import Window
-    d = rows.where(F.col(col).isNotNull()).select(F.col(col).alias("value")).distinct()
-    return d.withColumn("code", F.row_number().over(Window.orderBy("value")) - 1)
+    d = staged(rows.where(F.col(col).isNotNull()).select(F.col(col).alias("value")).distinct().repartitionByRange("value").sortWithinPartitions("value").withColumn("part", F.spark_partition_id()))
+    per = d.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row a partition
+    before = per.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("value")) - 1
+    return d.withColumn("r", place).join(F.broadcast(before), "part").select("value", (F.col("r") + F.col("o")).cast("int").alias("code"))
 
 
 def usable(occurrences: DataFrame, grammar: list[str], excluded_paths: list[str] = ()) -> DataFrame:

@@ -38,8 +38,8 @@ def finalized(passes: DataFrame, keys: list[str]) -> DataFrame:
     """keys, votes, rule, unanimous, categories, dropped of each key's passes.
 
     passes: keys, categories (null: no pass). One pass: single-vote, kept as it is. Else the categories that at least
-    two passes gave are kept; if there is one, or all passes agree, the rule is majority, else unstable. unanimous: all
-    passes gave the same set. dropped: given but not kept.
+    two passes gave are kept; if there is one, the rule is majority, else unstable (so too where all passes agree on no
+    category). unanimous: all passes gave the same set. dropped: given but not kept.
     """
     d = passes.where("categories is not null").withColumn("categories", F.array_sort(F.array_distinct("categories")))
     per = d.groupBy(*keys, "categories").agg(F.count(F.lit(1)).alias("_c"))  # however many passes, only distinct sets are collected
@@ -48,7 +48,7 @@ def finalized(passes: DataFrame, keys: list[str]) -> DataFrame:
     given = lambda c: F.aggregate(F.filter("sets", lambda s: F.array_contains(s["categories"], c)), F.lit(0).cast("bigint"), lambda n, s: n + s["_c"])
     kept = F.when(F.col("votes") == 1, F.element_at("sets", 1)["categories"]).otherwise(F.filter(every, lambda c: given(c) >= 2))
     g = g.withColumn("categories", kept).withColumn("unanimous", F.size("sets") == 1)
-    rule = F.when(F.col("votes") == 1, "single-vote").when((F.size("categories") > 0) | F.col("unanimous"), "majority").otherwise("unstable")
+    rule = F.when(F.col("votes") == 1, "single-vote").when(F.size("categories") > 0, "majority").otherwise("unstable")
     return g.select(*keys, "votes", rule.alias("rule"), "unanimous", "categories", F.array_except(every, F.col("categories")).alias("dropped"))
 
 

@@ -204,8 +204,8 @@ def constituent_packing(s: SparkSession, d: str) -> DataFrame:
     return p.select("part", got["frequency"].alias("frequency_code"), got["prefix_kango"].alias("prefix_code"), v.alias("packed"))
 
 
-_TAGDOM = """CASE WHEN t LIKE 'STEM.Computing%' OR t LIKE 'STEM.Technology%' THEN 1 WHEN t LIKE 'STEM.%' THEN 2 WHEN t LIKE 'Culture.%' THEN 4
- WHEN t LIKE 'Geography.%' THEN 5 WHEN t LIKE 'History\\_and\\_Society.%' ESCAPE '\\' OR t LIKE 'History and Society.%' THEN 6 END"""
+_TAGDOM = """CASE WHEN t IN ('STEM.Computing', 'STEM.Technology') THEN 1 WHEN starts_with(t, 'STEM') THEN 2 WHEN starts_with(t, 'Culture') THEN 3
+ WHEN starts_with(t, 'Geography') THEN 4 WHEN starts_with(t, 'History_and_Society') THEN 5 END"""
 _ARTDOM = f"""
 v AS (SELECT page_id, max(struct_pack(f := fetched_at, l := loaded_at, t := text, s := source_name, w := weighted_tags)) AS v FROM articles WHERE page_id IS NOT NULL GROUP BY page_id),
 tg AS (SELECT page_id, unnest(v.w) AS tag FROM v),
@@ -251,7 +251,9 @@ def domain_register_count(s: SparkSession, d: str) -> DataFrame:
     return domains.register_by_count(_pairs(s, d))
 
 
-@query("WITH" + _PAIRS + """, g AS (SELECT word, domain FROM (SELECT *, sum(docs) OVER (PARTITION BY word) AS total FROM dp) WHERE docs >= 0.2::DOUBLE * total AND total >= 5) """ + _FOLD.format(3))
+@query("WITH" + _PAIRS + """, t AS (SELECT word, sum(docs) AS total FROM dp GROUP BY word HAVING sum(docs) >= 5),
+g AS (SELECT word, list(domain) FILTER (docs >= 0.2::DOUBLE * total) AS ds FROM dp JOIN t USING (word) GROUP BY word)
+SELECT word, unnest(CASE WHEN ds IS NULL OR len(ds) >= 3 THEN [8] ELSE ds END)::INT AS domain FROM g""")
 def domain_register_share(s: SparkSession, d: str) -> DataFrame:
     return domains.register_by_share(_pairs(s, d))
 
@@ -266,9 +268,9 @@ w AS (SELECT DISTINCT word FROM occurrences WHERE word IS NOT NULL AND word <> '
 h AS (SELECT page_id, word FROM v, w WHERE contains(v.t, word)),
 g AS (SELECT word, count(*) AS articles FROM h GROUP BY word),
 x AS (SELECT word, domain, count(*) AS c FROM h JOIN ad USING (page_id) GROUP BY 1, 2),
-p AS (SELECT word, coalesce(sum(c) FILTER (domain = 1), 0)::BIGINT AS d1, coalesce(sum(c) FILTER (domain = 2), 0)::BIGINT AS d2, coalesce(sum(c) FILTER (domain = 4), 0)::BIGINT AS d4,
-      coalesce(sum(c) FILTER (domain = 5), 0)::BIGINT AS d5, coalesce(sum(c) FILTER (domain = 6), 0)::BIGINT AS d6 FROM x GROUP BY word)
-SELECT w.word, coalesce(articles, 0) AS articles, coalesce(d1, 0) AS d1, coalesce(d2, 0) AS d2, coalesce(d4, 0) AS d4, coalesce(d5, 0) AS d5, coalesce(d6, 0) AS d6,
+p AS (SELECT word, coalesce(sum(c) FILTER (domain = 1), 0)::BIGINT AS d1, coalesce(sum(c) FILTER (domain = 2), 0)::BIGINT AS d2, coalesce(sum(c) FILTER (domain = 3), 0)::BIGINT AS d3,
+      coalesce(sum(c) FILTER (domain = 4), 0)::BIGINT AS d4, coalesce(sum(c) FILTER (domain = 5), 0)::BIGINT AS d5 FROM x GROUP BY word)
+SELECT w.word, coalesce(articles, 0) AS articles, coalesce(d1, 0) AS d1, coalesce(d2, 0) AS d2, coalesce(d3, 0) AS d3, coalesce(d4, 0) AS d4, coalesce(d5, 0) AS d5,
        round(coalesce(d1, 0) / articles::DOUBLE, 4) AS it_share FROM w LEFT JOIN g USING (word) LEFT JOIN p USING (word)""")
 def topic_distribution(s: SparkSession, d: str) -> DataFrame:
     return domains.topic_distribution(_articles(s, d), table(s, d, "occurrences").select("word"), "page_id")
@@ -416,7 +418,7 @@ _FINAL = _VOTES + """,
 st AS (SELECT word, model, list_sort(list_distinct(categories)) AS cs FROM lw WHERE categories IS NOT NULL),
 gr AS (SELECT word, model, count(*) AS votes, list(cs) AS sets, list_sort(list_distinct(flatten(list(cs)))) AS every, count(DISTINCT cs) = 1 AS unanimous FROM st GROUP BY 1, 2),
 kp AS (SELECT *, CASE WHEN votes = 1 THEN sets[1] ELSE list_filter(every, lambda c: len(list_filter(sets, lambda x: list_contains(x, c))) >= 2) END AS categories FROM gr),
-fn AS (SELECT word, model, votes, CASE WHEN votes = 1 THEN 'single-vote' WHEN len(categories) > 0 OR unanimous THEN 'majority' ELSE 'unstable' END AS rule, unanimous, categories,
+fn AS (SELECT word, model, votes, CASE WHEN votes = 1 THEN 'single-vote' WHEN len(categories) > 0 THEN 'majority' ELSE 'unstable' END AS rule, unanimous, categories,
        list_filter(every, lambda c: NOT list_contains(categories, c)) AS dropped FROM kp)
 """
 

@@ -35,21 +35,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the session's spark.checkpoint.dir.
 
-    Only where that is unset, as in local tests, a temporary folder is taken.
+    Only a local session, whose tasks all run on this machine, may leave it unset and gets a temporary folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = "file://" + os.path.join(tempfile.gettempdir(), "lexstat-checkpoints")
     return d.rstrip("/")
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Checkpoint to the shared folder: cuts the lineage and survives the loss of an executor."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager)
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -69,7 +69,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """df with at least as many partitions as the cluster has cores, for work that is heavy per row.
 
     A text file or row group is one partition whatever its rows cost; where there are fewer of them than cores, the rows
-    are hashed out by the keys. Otherwise df comes back as it is.
+    are hashed out by the keys. Otherwise df comes back as it is. The rows are the same either way; only the exchange
+    before them depends on how the table is stored.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     return df if df._jdf.rdd().getNumPartitions() >= want else df.repartition(want, *keys)

@@ -76,7 +76,7 @@ def test_merged_runs_count_a_line_once(spark):
 def test_tags_to_domains(spark):
     rows = [(["x/STEM.Computing|803", "Culture.Linguistics*|538", "Geography.Regions|499"],), ([],), (None,), (["bad", None, "STEM.Physics|"],)]
     got = [r[0] for r in spark.createDataFrame(rows, "t array<string>").select(domains.tag_domains(F.col("t"))).collect()]
-    assert got == [[1, 4], [], [], []]
+    assert got == [[1, 3], [], [], []]
 
 
 def test_source_domains_and_law_ids(spark):
@@ -92,12 +92,31 @@ def test_registration(spark):
     df = spark.createDataFrame(rows, "word string, domain int, docs bigint")
     got = sorted((r["word"], r["domain"]) for r in domains.register_by_count(df).collect())
     assert got == sorted([("樹形図", 3), ("公開鍵暗号", 1), ("完了条件", 7), ("多い", 8)])
-    share = [("a", 1, 9), ("a", 2, 1), ("b", 1, 4), ("c", 1, 4), ("c", 3, 3), ("c", 4, 3), ("d", 1, 7), ("d", 3, 3)]
-    df = spark.createDataFrame(share, "word string, domain int, docs bigint")
-    got = sorted((r["word"], r["domain"]) for r in domains.register_by_share(df).collect())
-    assert got == [("a", 1), ("c", 8), ("d", 1), ("d", 3)]
-    low = sorted((r["word"], r["domain"]) for r in domains.register_by_share(df, general_min_total=100).collect())
-    assert ("d", 8) in low and ("a", 1) in low
+    fold = sorted((r["word"], r["domain"]) for r in domains.register_by_count(df, 5, 1).collect())
+    assert {d for _, d in fold} == {8}
+
+    def shares(rows, **kw):
+        df = spark.createDataFrame(rows, "word string, domain int, docs bigint")
+        out = {}
+        for r in domains.register_by_share(df, **kw).collect():
+            out.setdefault(r["word"], set()).add(r["domain"])
+        return out
+
+    assert shares([("a", 1, 9), ("a", 2, 1), ("b", 1, 4), ("c", 1, 5)]) == {"a": {1}, "c": {1}}
+    assert shares([("a", 1, 9), ("a", 2, 1)], share=0.05) == {"a": {1, 2}}
+    rows = [("c", 1, 4), ("c", 3, 3), ("c", 4, 3), ("d", 1, 7), ("d", 3, 3), *[("e", i, 5) for i in range(1, 7)]]
+    assert shares(rows) == {"c": {8}, "d": {1, 3}, "e": {8}}
+    rows = [("a", 1, 90), ("a", 3, 10), ("b", 1, 90), ("b", 3, 9), ("c", 1, 4)]
+    assert shares(rows, general_min_total=100) == {"a": {8}, "b": {1}}
+    assert shares([("a", 1, 90), ("a", 3, 10)], general_min_total=101) == {"a": {1}}
+    two = [("", 3, 5), ("樹形図", 3, 5), ("樹形図", 2, 2), ("公開鍵暗号", 1, 3), ("公開鍵暗号", 1, 2), ("完了条件", 7, 9), ("監視対象", 1, 4)]
+    assert shares(two) == {"": {3}, "樹形図": {2, 3}, "公開鍵暗号": {1}, "完了条件": {7}}
+
+
+def test_topics_of_information_technology_are_exact(spark):
+    rows = [(["STEM.Computing_x|900"],), (["STEM.Technology|500"],), (["History_and_Society.Transport|600"],), (["Other|700"],)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t array<string>").select(domains.tag_domains(F.col("t"))).collect()]
+    assert got == [[2], [1], [5], []]
 
 
 def judge_one(spark, word, buckets=(), parts=(), units=(), dom=(), **kw):
