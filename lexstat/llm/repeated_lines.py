@@ -3,8 +3,8 @@
 The letters of a line (NFKC, lower case, all else disregarded) are cut into chunks where a hash rolling over WINDOW
 letters meets a mask, so cuts depend on the content alone. Rolling starts anew at a line break: the chunks of a line
 are then the same on every page whatever stands around it, and a repeated line has only repeated chunks. Distinct
-pages are counted per source and chunk; lines all of whose chunks recur often enough are checked by a count of their
-whole letters.
+pages are counted per source and chunk; of lines all of whose chunks recur often enough, the pages that have the whole
+line (a 64-bit hash of its letters) are counted.
 """
 
 from __future__ import annotations
@@ -93,6 +93,18 @@ def _often(counts: DataFrame, pages: DataFrame, share: float, least: int) -> Dat
     return counts.join(pages, "source_name").where((F.col("n") >= least) & (F.col("n") >= F.lit(share) * F.col("n_pages")))
 
 
+#: Rows of a table of frequent chunks or lines up to which it is broadcast; SALTS copies of a larger one are joined.
+BROADCAST_ROWS, SALTS = 500_000, 16
+
+
+def _join_frequent(rows: DataFrame, frequent: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """rows joined with a staged table of few rows a key, so that no task gets all rows of a hot key."""
+    if frequent.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(frequent), keys, how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    return salted.join(frequent.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "_salt"], how).drop("_salt")
+
+
 def repeated_lines(articles: DataFrame, share: float = 0.06, least: int = 3) -> DataFrame:
     """page_id, line_no, source_name, n, n_pages of every line that is in at least `share` of its source's pages and `least` of them.
 
@@ -111,15 +123,15 @@ def repeated_lines(articles: DataFrame, share: float = 0.06, least: int = 3) ->
         .groupBy("source_name", "chunk").agg(F.count(F.lit(1)).alias("n"))
     )
     often = staged(_often(chunks, sizes, share, least).select("source_name", "chunk"))
-    whole = (
-        lines.select("source_name", "page_id", "line_no", "line_key", F.size("chunks").alias("k"), F.explode("chunks").alias("chunk"))
-        .join(often, ["source_name", "chunk"], "left_semi")
+    spread_out = lines.select("source_name", "page_id", "line_no", "line_key", F.size("chunks").alias("k"), F.explode("chunks").alias("chunk"))
+    whole = staged(
+        _join_frequent(spread_out, often, ["source_name", "chunk"], "left_semi")
         .groupBy("source_name", "page_id", "line_no", "line_key", "k").agg(F.count(F.lit(1)).alias("got")).where("got = k")
         .select("source_name", "page_id", "line_no", "line_key")
     )
     exact = whole.select("source_name", "page_id", "line_key").distinct().groupBy("source_name", "line_key").agg(F.count(F.lit(1)).alias("n"))
-    keys = _often(exact, sizes, share, least)
-    return whole.join(keys, ["source_name", "line_key"]).select("page_id", "line_no", "source_name", "n", "n_pages")
+    keys = staged(_often(exact, sizes, share, least))
+    return _join_frequent(whole, keys, ["source_name", "line_key"], "inner").select("page_id", "line_no", "source_name", "n", "n_pages")
 
 
 def without_repeated_lines(articles: DataFrame, share: float = 0.06, least: int = 3) -> DataFrame:

@@ -186,3 +186,37 @@ def test_pairs_against_brute_force(spark, monkeypatch):
         g = 2 * sum(o * math.log(o / m) for o, m in zip(k, e) if o and m)
         assert abs(abs(x["llr"]) - g) < 1e-6 * max(1, g)
     assert cooccurrence.pair_counts(spark.createDataFrame([], OCC)).collect() == []
+
+
+def test_counts_of_billions_do_not_overflow(spark):
+    big = 3 * 10**9
+    rows = [("a", "b", big, big, big, 10 * big), ("a", "c", big, big, big, 10 * big - 1), ("a", "d", 5, big, big, 10**6), ("e", "f", 10**12, 10**15, 10**16, 10**18)]
+    df = spark.createDataFrame(rows, "word_a string, word_b string, n_ab bigint, n_a bigint, n_b bigint, n bigint")
+    got = {(r["word_a"], r["word_b"]) for r in cooccurrence.linked(df).collect()}
+    assert got == {(a, b) for a, b, ab, x, y, n in rows if ab >= 5 and ab * 10**4 >= n and ab * n >= 10 * x * y}
+
+
+def test_a_hot_word_is_merged_by_segments(spark):
+    rows = [(i, "hot", [f"w{i % 300}", f"v{i % 7}"], 1, "x") for i in range(3000)]
+    df = spark.createDataFrame(rows, OCC).repartition(6)
+    got = {(r["word_a"], r["word_b"]): r["n_ab"] for r in cooccurrence.pair_counts(df).collect()}
+    assert got == {("hot", f"w{k}"): 10 for k in range(300)} | {("hot", f"v{k}"): 3000 // 7 + (k < 3000 % 7) for k in range(7)}
+
+
+def test_runs_split_over_partitions_and_batches(spark):
+    rows = [(i, "s", "noun", "hot" if i % 3 else f"t{i % 40}", 1, None, T0, T0, "c", 1) for i in range(5000)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = {r["term"]: (r["occurrences"], r["alone"], r["records"]) for r in term_counts.term_frequencies(spark.createDataFrame(rows, COUNTS), partitions=9).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = Counter(r[3] for r in rows)
+    assert got == {t: (n, None, n) for t, n in want.items()}
+
+
+def test_many_equal_terms_are_refined_to_the_last(spark, monkeypatch):
+    monkeypatch.setattr(heavy_hitters, "FEW", 0)
+    rows = [(1, "wiki", i, f"t{i % 500}", 1 + i % 2, 0, 0) for i in range(4000)]
+    sums = plain_sums(rows)
+    got = [(r["term"], r["total"]) for r in heavy_hitters.top_terms(spark.createDataFrame(rows, RUNS), 20).orderBy("rank").collect()]
+    assert got == sorted(sums.items(), key=lambda x: (-x[1], x[0]))[:20]

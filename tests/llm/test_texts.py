@@ -137,6 +137,14 @@ def test_repeated_lines_against_brute_force(spark):
     assert repeated_lines.repeated_lines(df.limit(0)).collect() == []
 
 
+def test_frequent_tables_too_large_to_broadcast_give_the_same(spark, monkeypatch):
+    rows = [(i, "s", f"shared line {i % 3}\nown {'abcdefghij'[i % 10] * (i + 1)}", None, None) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id bigint, source_name string, text string, fetched_at timestamp, loaded_at timestamp")
+    want = sorted(map(tuple, repeated_lines.repeated_lines(df).collect()))
+    monkeypatch.setattr(repeated_lines, "BROADCAST_ROWS", 0)
+    assert want and sorted(map(tuple, repeated_lines.repeated_lines(df).collect())) == want
+
+
 def test_chunks_depend_on_the_line_alone():
     r = random.Random(1)
     line = "".join(r.choice("abcdefghij") for _ in range(80))
