@@ -141,8 +141,8 @@ def pair_counts(df: DataFrame) -> DataFrame:
 def linked(pairs: DataFrame, min_records: int = 5, per_records: int = 10_000, min_lift: int = 10) -> DataFrame:
     """The pairs with n_ab >= min_records, n_ab * per_records >= n and at least min_lift times the chance count.
 
-    Products are exact decimals: counts of up to 10^18 records do not overflow.
+    Products are exact decimals: they do not overflow however large the counts.
     """
-    n_ab, n_a, n_b, n = (F.col(c).cast("decimal(18,0)") for c in ("n_ab", "n_a", "n_b", "n"))
+    n_ab, n_a, n_b, n = (F.col(c).cast("decimal(19,0)") for c in ("n_ab", "n_a", "n_b", "n"))
     enough = n_ab * F.lit(per_records).cast("decimal(9,0)") >= n
     return pairs.where((n_ab >= min_records) & enough & (n_ab * n >= n_a * n_b * F.lit(min_lift).cast("decimal(9,0)")))
