@@ -1,11 +1,13 @@
 """Markup residue: finding which markup a text really holds, and clean text that keeps its structure.
 
-A text is parsed into a tree: entry, texts, blocks, spans. Every place that some dialect (Markdown, MediaWiki,
-reStructuredText, HTML, LaTeX) would read as markup becomes a candidate node; whether it is markup, and of which
-kind, is a variable of a tree-structured graphical model. The entry and its texts have a dialect, the parent of a
-block is its text, the parent of a span its block or text, and each parent-child potential is a table of conditional
-frequencies. A sum-product pass from the leaves to the entry and back yields every node's marginal. The tables are
-counted on labelled pages, which are put together from marked-up and merely look-alike pieces of every dialect.
+A text is parsed into a tree: entry, texts, blocks, spans, spans inside spans. Every place that some dialect (Markdown,
+MediaWiki, reStructuredText, HTML, LaTeX) would read as markup becomes a candidate node; whether it is markup, and of
+which kind, is a variable of a tree-structured graphical model. The entry and its texts have a dialect; a node's parent is
+the smallest node around it, else its text. The potential between a node and its parent says how often a text of a
+dialect, or a node that is markup or isn't, holds such a candidate, and in which state: so what is found inside a node
+speaks for or against it. A sum-product pass from the leaves to the entry and back yields every node's marginal, in time
+proportional to the nodes. The tables are counted on labelled pages, which are put together from marked-up and merely
+look-alike pieces of every dialect.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -62,7 +65,7 @@ _FORMS = [
     ("dbltick", "code", "span", r"(?<![`\w])``(?P<t>[^`\n](?:[^\n]*?[^`\n])?)``(?!`)", 0),
     ("headwiki", "heading", "block", r"^[ \t]*(?P<e>={1,6})(?!=)[ \t]*(?P<t>[^=\s](?:[^\n]*?[^=\s])?)[ \t]*(?P=e)[ \t]*$", _M),
     ("headover", "heading", "block", rf"^(?P<u>[{_UNDER}])(?P=u){{2,}}[ \t]*\n(?P<t>[ \t]*\S[^\n]*)\n(?P=u){{3,}}[ \t]*$", _M),
-    ("headunder", "heading", "block", rf"^(?P<t>[^\s|>{_UNDER}][^\n]*)\n(?P<u>[{_UNDER}])(?P=u){{2,}}[ \t]*$", _M),
+    ("headunder", "heading", "block", rf"^(?P<t>(?:[^\s|>{_UNDER}]|(?:\*\*?|``?|__?|:)(?=\w))[^\n]*)\n(?P<u>[{_UNDER}])(?P=u){{2,}}[ \t]*$", _M),
     ("headtag", "heading", "block", r"<(?P<g>h[1-6])\b[^<>]*>(?P<t>.*?)</(?P=g)\s*>", _S | re.I),
     ("headtex", "heading", "block", r"\\(?:part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?(?:\[[^\]\n]*\])?\{(?P<t>(?:[^{}]|\{[^{}]*\})*)\}(?:\s*\\label\{[^{}]*\})?", 0),
     ("hashes", "heading", "block", r"^[ ]{0,3}#{1,6}[ \t]*[^\s#][^\n]*(?:\n[ ]{0,3}#{1,6}[ \t]*[^\s#][^\n]*)*", _M),
@@ -105,6 +108,8 @@ _FORMS = [
 ]
 FORMS = [(f, e, lv, re.compile(p, fl)) for f, e, lv, p, fl in _FORMS]
 _ELEMENT = {f: e for f, e, _, _ in FORMS}
+#: Spans whose content can hold further spans.
+HOLDS = frozenset("wikilink mdlink extlink texcmd texhref texgroup tripleq doubleq strike strong strongu emph emphu".split())
 #: Kinds that a candidate's form can stand for.
 STATES = {f: ("no", "heading", "list") if f == "hashes" else ("no", e) for f, e, _, _ in FORMS}
 
@@ -148,38 +153,73 @@ def _feature(form: str, text: str, m: re.Match) -> str:
     return ""
 
 
+class _Places:
+    """The nodes found so far, by where they begin and end."""
+
+    def __init__(self, size: int):
+        self.hard = bytearray(size)  # 1: inside a node that holds none, or one of the marks of a node that holds some
+        self.blocks = bytearray(size)
+        self.starts: list[tuple[int, int]] = []
+        self.ends: list[tuple[int, int]] = []
+
+    def crossed(self, a: int, b: int) -> bool:
+        """Whether a node begins or ends in a..b whose other end lies outside."""
+        i, j = bisect_left(self.starts, (a, -1)), bisect_left(self.starts, (b, -1))
+        if any(e > b for _, e in self.starts[i:j]):
+            return True
+        i, j = bisect_left(self.ends, (a + 1, -1)), bisect_left(self.ends, (b + 1, -1))
+        return any(s < a for _, s in self.ends[i:j])
+
+    def put(self, a: int, b: int, marks: list[tuple[int, int]], block: bool) -> None:
+        insort(self.starts, (a, b))
+        insort(self.ends, (b, a))
+        for x, y in marks:
+            self.hard[x:y] = b"\1" * (y - x)
+            if block:
+                self.blocks[x:y] = b"\1" * (y - x)
+
+
 def parse(text: str) -> list[Node]:
-    """Candidates of a text, each at a place of its own; spans inside a heading or list have its block as parent."""
-    taken = bytearray(len(text))
+    """Candidates of a text in order of place, each with the smallest other around it as parent; none overlaps another in part."""
+    at = _Places(len(text))
     nodes: list[Node] = []
-    open_blocks: list[int] = []
+    open_at: list[tuple[int, int]] = []
     for form, element, level, pattern in FORMS:
+        wide = level == "block" and element in ("heading", "list") or form == "quote"
         for m in pattern.finditer(text):
             a, b = m.span()
-            if a == b or any(taken[a:b]):
+            if a == b:
                 continue
             d = m.groupdict()
-            node = Node(form, _feature(form, text, m), a, b, next((x for x in (d.get("t"), d.get("t2")) if x is not None), m[0]), level == "block")
-            nodes.append(node)
-            if level == "block" and element in ("heading", "list") or form in ("quote", "tag"):
-                if form != "tag":
-                    open_blocks.append(len(nodes) - 1)
+            group = next((g for g in ("t", "t2") if d.get(g) is not None), 0)
+            marks = [(a, m.start(group)), (m.end(group), b)] if form in HOLDS and group else [(a, b)]
+            if wide:
+                if at.blocks.find(1, a, b) >= 0 or at.crossed(a, b):
                     continue
-            taken[a:b] = b"\1" * (b - a)
-    blocks = []
-    for i in sorted(open_blocks, key=lambda i: i):  # of overlapping blocks the earlier form holds
-        if all(nodes[i].end <= nodes[j].start or nodes[i].start >= nodes[j].end for j in blocks):
-            blocks.append(i)
-    keep = [i for i, x in enumerate(nodes) if i not in open_blocks or i in blocks]
-    out = [nodes[i] for i in keep]
-    where = {i: k for k, i in enumerate(keep)}
-    for x in out:
-        for i in blocks:
-            y = nodes[i]
-            if x is not y and y.start <= x.start and x.end <= y.end:
-                x.parent = where[i]
-    # bullets of a list are no emphasis, a block of signs inside another block no block of its own
-    return out
+            elif any(at.hard.find(1, x, y) >= 0 for x, y in marks) or form in HOLDS and at.crossed(a, b):
+                continue
+            node = Node(form, _feature(form, text, m), a, b, m[group], level == "block")
+            if wide:  # of overlapping blocks the earlier form holds
+                i = bisect_left(open_at, (a, b))
+                if i < len(open_at) and open_at[i][0] < b or i and open_at[i - 1][1] > a:
+                    continue
+                open_at.insert(i, (a, b))
+            else:
+                at.put(a, b, marks, node.block)
+            nodes.append(node)
+    nodes.sort(key=lambda x: (x.start, -x.end))
+    around: list[int] = []
+    for i, x in enumerate(nodes):
+        while around and nodes[around[-1]].end <= x.start:
+            around.pop()
+        x.parent = next((j for j in reversed(around) if nodes[j].end >= x.end), -1)
+        around.append(i)
+    return nodes
+
+
+def _under(state: str) -> str:
+    """What a node's children see of its state."""
+    return "no" if state == "no" else "yes"
 
 
 class Model:
@@ -189,20 +229,21 @@ class Model:
         self.declared: dict[str, np.ndarray] = defaultdict(lambda: np.ones(len(DIALECTS)) * 0.3)
         self.same = 0.95
         self.node: dict[tuple, np.ndarray] = {}
-        self.rate: dict[str, np.ndarray] = defaultdict(lambda: np.ones(len(DIALECTS)) * 0.2)
-        self.texts = np.zeros(len(DIALECTS))
+        self.rate: dict[tuple[str, str], np.ndarray] = defaultdict(lambda: np.ones(len(DIALECTS)) * 0.2)
+        self.parents: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(DIALECTS)))
 
     def count(self, declared: str, dialect: int, nodes: list[tuple[Node, str, str]]) -> None:
         self.declared[declared][dialect] += 1
-        self.texts[dialect] += 1
+        self.parents["none"][dialect] += 1
         for n, state, parent in nodes:
-            self.rate[n.form][dialect] += 1
+            self.rate[n.form, parent][dialect] += 1
+            self.parents[_under(state)][dialect] += 1
             for key in ((n.form, n.feature, dialect, parent), (n.form, n.feature, dialect), (n.form, n.feature), (n.form,)):
                 self.node.setdefault(key, np.zeros(len(STATES[n.form])))[STATES[n.form].index(state)] += 1
 
     @lru_cache(maxsize=65536)  # noqa: B019
     def states(self, form: str, feature: str, parent: str) -> np.ndarray:
-        """P(state | dialect), dialects by states, smoothed from the general to the special."""
+        """P(state | dialect, parent), dialects by states, smoothed from the general to the special."""
         rows = []
         for d in range(len(DIALECTS)):
             p = np.full(len(STATES[form]), 0.5)
@@ -215,45 +256,59 @@ class Model:
             rows.append(p)
         return np.array(rows)
 
-    def likelihood(self, form: str) -> np.ndarray:
-        """How often a text of each dialect shows the form."""
-        return self.rate[form] / (self.texts + 1)
+    def likelihood(self, form: str, parent: str) -> np.ndarray:
+        """How often a text of each dialect (parent: none), or a node that is markup (yes) or not (no), holds the form."""
+        return self.rate[form, parent] / (self.parents[parent] + 1)
+
+    @lru_cache(maxsize=65536)  # noqa: B019
+    def potential(self, form: str, feature: str, parent: str) -> np.ndarray:
+        """The form's occurrence and its state given the parent, dialects by states."""
+        return self.states(form, feature, parent) * self.likelihood(form, parent)[:, None]
 
     def infer(self, declared: str, texts: list[list[Node]]) -> None:
         """Sum-product over the tree of one entry; fills the nodes' beliefs."""
         k = len(DIALECTS)
         move = np.full((k, k), (1 - self.same) / (k - 1))
         np.fill_diagonal(move, self.same)
-        up = []
-        for nodes in texts:  # leaves to texts: a span's message passes its block, whose states it depends on
-            m = np.ones(k)
-            for i, n in enumerate(nodes):
-                if n.parent >= 0:
-                    continue
-                own = self.states(n.form, n.feature, "none") * self.likelihood(n.form)[:, None]
-                for c in (x for x in nodes if x.parent == i):
-                    inside = [self.states(c.form, c.feature, "no" if s == "no" else "yes").sum(1) * self.likelihood(c.form) for s in STATES[n.form]]
-                    own = own * np.stack(inside, 1)
-                m = m * own.sum(1)
-                m /= m.sum()
-            up.append(m)
+        up, belows = [], []
+        for nodes in texts:  # leaves to texts
+            message = np.ones(k)
+            below = [np.ones((k, len(STATES[n.form]))) for n in nodes]
+            for i in range(len(nodes) - 1, -1, -1):
+                n = nodes[i]
+                if n.parent < 0:
+                    message *= (self.potential(n.form, n.feature, "none") * below[i]).sum(1)
+                    message /= message.sum()
+                else:
+                    sent = {c: (self.potential(n.form, n.feature, c) * below[i]).sum(1) for c in ("no", "yes")}
+                    above = below[n.parent]
+                    above *= np.stack([sent[_under(s)] for s in STATES[nodes[n.parent].form]], 1)
+                    above /= above.max()
+            up.append(message)
+            belows.append(below)
         root = self.declared[declared] / self.declared[declared].sum()
         to_root = [move @ m for m in up]
-        for t, nodes in enumerate(texts):  # entry to texts to leaves
-            others = root.copy()
-            for s, m in enumerate(to_root):
-                if s != t:
-                    others = others * m
+        before, after = [root], [np.ones(k)]  # products of the other texts' messages
+        for m in to_root[:-1]:
+            before.append(before[-1] * m / m.max())
+        for m in reversed(to_root[1:]):
+            after.append(after[-1] * m / m.max())
+        for t, (nodes, below) in enumerate(zip(texts, belows)):  # entry to texts to leaves
+            others = before[t] * after[len(texts) - 1 - t]
             text = (others / others.sum()) @ move * up[t]
             text /= text.sum()
+            joint: list[np.ndarray] = []
             for i, n in enumerate(nodes):
-                if n.parent >= 0:
-                    continue
-                joint = self.states(n.form, n.feature, "none") * text[:, None]
-                n.belief = dict(zip(STATES[n.form], joint.sum(0) / joint.sum()))
-                for c in (x for x in nodes if x.parent == i):
-                    b = sum(((joint[:, j][:, None] * self.states(c.form, c.feature, "no" if s == "no" else "yes")).sum(0) for j, s in enumerate(STATES[n.form])), np.zeros(len(STATES[c.form])))
-                    c.belief = dict(zip(STATES[c.form], b / b.sum()))
+                def given(parent: str, n: Node = n, i: int = i) -> np.ndarray:
+                    p = self.potential(n.form, n.feature, parent) * below[i]
+                    return p / p.sum(1, keepdims=True)
+                if n.parent < 0:
+                    joint.append(given("none") * text[:, None])
+                else:
+                    no = joint[n.parent][:, 0]
+                    joint.append(given("no") * no[:, None] + given("yes") * (joint[n.parent].sum(1) - no)[:, None])
+                b = joint[i].sum(0)
+                n.belief = dict(zip(STATES[n.form], b / b.sum()))
 
 
 #: Labelled pieces of pages, by dialect: element and pattern, with W a phrase, L the lines of a list, C code, M a formula.
@@ -284,14 +339,29 @@ _CODE = ["let n = count(x);", "export a=1", "x = open('a.tsv')", "if (a > 3) { s
 _MATH = ["x^{2} + y^2", "\\sum_{i=1}^{4} c_i", "k \\log n + 6", "\\alpha_1 \\le \\beta", "\\frac{a}{b}"]
 
 
-def _piece(pattern: str, r: random.Random) -> str:
-    w = lambda: " ".join(r.choice(_WORDS) for _ in range(r.randint(1, 3)))
+def _piece(pattern: str, r: random.Random, inside: list[tuple[str, str]] = ()) -> tuple[str, list[tuple[int, int, str]]]:
+    """A piece's text, and place and element of the markup put inside its phrases."""
+    def w() -> str:
+        words = " ".join(r.choice(_WORDS) for _ in range(r.randint(1, 3)))
+        if not inside or r.random() > 0.25:
+            return words
+        element, p = r.choice(inside)
+        return f"{words} \ue000{ELEMENTS.index(element)}{_piece(p, r)[0]}\ue001 {words}"
+
     if pattern[0] in "LN" and len(pattern) <= 4:
         n = r.randint(2, 5)
-        return "\n".join(f"{i + 1}{pattern[1:]}{w()}" if pattern[0] == "N" else pattern[1:] + w() for i in range(n))
-    out = pattern.replace("C", "\0", 1) if re.search(r"C(?![:#])", pattern) and "Co." not in pattern else pattern
-    out = out.replace("M", "\1", 1) if "M" in out else out
-    return re.sub("W", lambda _: w(), out).replace("\0", r.choice(_CODE)).replace("\1", r.choice(_MATH))
+        out = "\n".join(f"{i + 1}{pattern[1:]}{w()}" if pattern[0] == "N" else pattern[1:] + w() for i in range(n))
+    else:
+        out = pattern.replace("C", "\0", 1) if re.search(r"C(?![:#])", pattern) and "Co." not in pattern else pattern
+        out = out.replace("M", "\1", 1) if "M" in out else out
+        out = re.sub("W", lambda _: w(), out).replace("\0", r.choice(_CODE)).replace("\1", r.choice(_MATH))
+    text, places = "", []
+    for i, part in enumerate(re.split("\ue000|\ue001", out)):
+        if i % 2:
+            places.append((len(text), len(text) + len(part) - 1, ELEMENTS[int(part[0])]))
+            part = part[1:]
+        text += part
+    return text, places
 
 
 @lru_cache(maxsize=1)
@@ -299,23 +369,31 @@ def trained(pages: int = 400, seed: int = 11) -> Model:
     """The tables, counted on `pages` labelled pages of each dialect."""
     model, r = Model(), random.Random(seed)
     for d, dialect in enumerate(DIALECTS):
+        # what stands inside the phrases of others: the pieces that are one span among words, without these
+        inside = [(e, p.removeprefix("W ").removesuffix(" W")) for e, p in _PIECES[dialect]
+                  if e in ("inline", "code", "formula") and "\n" not in p and (p.startswith("W ") or p.endswith(" W")) and not p.startswith(">")]
         for _ in range(pages):
             declared = dialect if r.random() < 0.8 else r.choice([*DIALECTS, "any", "none"])
             declared = "any" if r.random() < 0.15 else declared
             parts, spans, at = [], [], 0
             for _ in range(r.randint(1, 4)):
-                element, text = "no", r.choice(_ALIKE)
+                element, text, phrases = "no", r.choice(_ALIKE), ()
                 if _PIECES[dialect] and r.random() < 0.6:
                     element, text = r.choice(_PIECES[dialect])
+                    phrases = inside if element in ("heading", "list") or element == "inline" and text.count("W") == 2 else ()
                 elif r.random() < 0.4:
                     text = "W"
-                s = _piece(text, r)
+                s, places = _piece(text, r, phrases)
                 spans.append((at, at + len(s), element))
+                spans += [(at + a, at + b, e) for a, b, e in places]
                 parts.append(s)
                 at += len(s) + 2
             nodes = parse("\n\n".join(parts))
-            state = [next((e for a, b, e in spans if a <= n.start and n.start < b and e in STATES[n.form]), "no") for n in nodes]
-            model.count(declared, d, [(n, s, "none" if n.parent < 0 else "no" if state[n.parent] == "no" else "yes") for n, s in zip(nodes, state)])
+            state = []
+            for n in nodes:  # the smallest labelled piece around it
+                _, e = min(((b - a, e) for a, b, e in spans if a <= n.start < b and n.end <= b + 1), default=(0, "no"))
+                state.append(e if e in STATES[n.form] else "no")
+            model.count(declared, d, [(n, s, "none" if n.parent < 0 else _under(state[n.parent])) for n, s in zip(nodes, state)])
     return model
 
 
@@ -335,11 +413,15 @@ def kind(n: Node, cut: float = 0.5) -> str | None:
 def clean(text: str, nodes: list[Node], cut: float = 0.5) -> str:
     """Plain text: headings as '# ', list items as '- ', code in backticks, formulas in dollar signs, other markup taken off."""
 
+    inside: dict[int, list[int]] = defaultdict(list)
+    for i, n in enumerate(nodes):
+        inside[n.parent].append(i)
+
     def inner(a: int, b: int, parent: int) -> str:
         out, at = [], a
-        mine = sorted((x for x in enumerate(nodes) if x[1].parent == parent and a <= x[1].start and x[1].end <= b), key=lambda x: x[1].start)
-        for i, n in mine:
-            if n.start < at:
+        for i in inside[parent]:
+            n = nodes[i]
+            if n.start < max(at, a) or n.end > b:
                 continue
             out.append(text[at : n.start])
             out.append(render(i, n))
@@ -352,6 +434,8 @@ def clean(text: str, nodes: list[Node], cut: float = 0.5) -> str:
         whole = inner(n.start, n.end, i)
         if e is None:
             return whole
+        begin = text.find(n.content, n.start, n.end) if inside[i] and e in ("heading", "inline") else -1
+        content = inner(begin, begin + len(n.content), i) if begin >= 0 else n.content
         if e == "code":
             body = html.unescape(n.content.strip("\n")) if n.form in ("pre", "codetag") else "\n".join(x.strip() for x in n.content.strip("\n").split("\n")) if n.form in ("literal", "coderst") else n.content
             head = ":\n\n" if n.form == "literal" and text[n.start : n.start + 2] == "::" and n.start and not text[n.start - 1].isspace() else ""
@@ -361,7 +445,7 @@ def clean(text: str, nodes: list[Node], cut: float = 0.5) -> str:
             body = re.sub(r"^\\\\?[(\[]|\\\\?[)\]]$", "", body).strip()
             return f"$$\n{body}\n$$" if n.block else f"${body}$"
         if e == "heading":
-            t = re.sub(r"^#+\s*|\s+#+\s*$", "", whole.strip()) if n.form == "hashes" else n.content
+            t = re.sub(r"^#+\s*|\s+#+\s*$", "", whole.strip()) if n.form == "hashes" else content
             return "# " + re.sub(r"<[^<>]+>", "", t).strip()
         if e == "list":
             body = re.sub(r"</?(?:ul|ol|dl|menu|dd)\b[^<>]*>|</(?:li|dt|dd)>", "", whole, flags=re.I)
@@ -376,7 +460,7 @@ def clean(text: str, nodes: list[Node], cut: float = 0.5) -> str:
             return "\n" if n.form == "tag" and re.match(r"<br", text[n.start : n.end], re.I) else ""
         if n.form == "texcmd" and re.match(r"~?\\(?:cite|ref|eqref|pageref|label|index|footnote)", text[n.start : n.end]):
             return ""
-        return n.content
+        return content
 
     return re.sub(r"\n{3,}", "\n\n", inner(0, len(text), -1)).strip()
 

@@ -1,5 +1,7 @@
 """Markup, repeated lines, sentences, leaks, mixing and content scores."""
 
+import itertools
+import math
 import random
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
@@ -36,47 +38,62 @@ def test_lookalikes_are_not_markup(fmt, text):
     assert {markup.kind(n) for n in markup.judged(fmt, [text])[0]} <= {None}
 
 
-def test_messages_sum_to_the_joint():
+@pytest.mark.parametrize("texts", [["# a *b* c", "*e* f"], ["[**b** `c`](/x.html) t"], ["**[W link](x.html)** t", "*d*"]])
+def test_messages_sum_to_the_joint(texts):
     """Marginals of a small tree equal those from enumerating all assignments."""
     m = markup.trained()
-    texts = [markup.parse("# a *b* c\n# d"), markup.parse("*e* f")]
+    texts = [markup.parse(t) for t in texts]
     m.infer("any", texts)
     k = len(markup.DIALECTS)
     root = m.declared["any"] / m.declared["any"].sum()
     move = np.full((k, k), (1 - m.same) / (k - 1))
     np.fill_diagonal(move, m.same)
     total, part = 0.0, defaultdict(float)
+    every = [(t, i) for t, nodes in enumerate(texts) for i in range(len(nodes))]
+    assert any(texts[t][i].parent >= 0 for t, i in every)
     for d in range(k):
-        ways = []
-        for nodes in texts:
-            options = []
-            for dt in range(k):
-                base = [(move[d, dt], {})]
-                for i, n in enumerate(nodes):
-                    if n.parent >= 0:
-                        continue
-                    grown = []
-                    for w, a in base:
-                        for j, s in enumerate(markup.STATES[n.form]):
-                            v = w * m.states(n.form, n.feature, "none")[dt, j] * m.likelihood(n.form)[dt]
-                            inner = [(v, a | {id(n): s})]
-                            for c in (x for x in nodes if x.parent == i):
-                                inner = [(x * m.states(c.form, c.feature, "no" if s == "no" else "yes")[dt, q] * m.likelihood(c.form)[dt], b | {id(c): t})
-                                         for x, b in inner for q, t in enumerate(markup.STATES[c.form])]
-                            grown += inner
-                    base = grown
-                options += base
-            ways.append(options)
-        for w1, a1 in ways[0]:
-            for w2, a2 in ways[1]:
-                v = root[d] * w1 * w2
+        for dialects in itertools.product(range(k), repeat=len(texts)):
+            for states in itertools.product(*(range(len(markup.STATES[texts[t][i].form])) for t, i in every)):
+                at = dict(zip(every, states))
+                v = root[d] * math.prod(move[d, x] for x in dialects)
+                for (t, i), q in at.items():
+                    n = texts[t][i]
+                    parent = "none" if n.parent < 0 else "no" if at[t, n.parent] == 0 else "yes"
+                    v *= m.states(n.form, n.feature, parent)[dialects[t], q] * m.likelihood(n.form, parent)[dialects[t]]
                 total += v
-                for key, s in (a1 | a2).items():
-                    part[key, s] += v
-    for nodes in texts:
-        for n in nodes:
-            for s, b in n.belief.items():
-                assert b == pytest.approx(part[id(n), s] / total, abs=1e-9)
+                for key, q in at.items():
+                    part[key, q] += v
+    for t, nodes in enumerate(texts):
+        for i, n in enumerate(nodes):
+            for q, s in enumerate(markup.STATES[n.form]):
+                assert n.belief[s] == pytest.approx(part[(t, i), q] / total, abs=1e-9)
+
+
+def test_what_a_node_holds_speaks_for_it():
+    m = markup.trained()
+    nodes, alone = markup.parse("# a **b** c"), markup.parse("# a b c")
+    assert [n.form for n in nodes] == ["hashes", "strong"] and nodes[1].parent == 0
+    m.infer("any", [nodes])
+    m.infer("any", [alone])
+    assert nodes[0].belief["heading"] > alone[0].belief["heading"]
+
+
+@pytest.mark.parametrize("text,want", [
+    ("**[W link](x.html)** tail", "W link tail"), ("[**bold**](x.html) tail", "bold tail"), ("**bold** Head\n=====\n\ntext", "# bold Head\n\ntext"),
+    ("# a **b** `c`\n\nd", "# a b `c`\n\nd")])
+def test_nested_markup_leaves_no_residue(text, want):
+    assert markup.clean(text, markup.judged("md", [text])[0]) == want
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+    piece = "Some **bold *and* more** text with [a **b** c](/x.html) and `code`.\n\n- one\n- two\n\n"
+    times = []
+    for n in (50, 400):
+        began = time.process_time()
+        markup.judged("md", [piece * n])
+        times.append(time.process_time() - began)
+    assert times[1] < 24 * max(times[0], 0.02)
 
 
 def test_clean_text_keeps_structure():
