@@ -206,6 +206,23 @@ def test_sentence_spans_cover_all_but_blanks():
         assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("text,lang,n", [
+    ("Das gilt z.B. Hans und den Kindern. Ende.", None, 2), ("Das gilt z.B. Hans. Ende.", "de", 2), ("The report of Hr. Smith is in the file. Fine.", "en", 3),
+    ("Der Bericht des Hr. Smith ist nicht da. Gut.", None, 2), ("Le rapport de M. Roux et la note p.ex. Jean. Fin.", "fr", 2)])
+def test_abbreviations_are_those_of_the_language(text, lang, n):
+    assert len(sentences.sentence_spans(text, lang)) == n
+
+
+def test_break_rules_use_character_properties():
+    spans = lambda t: [t[a:b] for a, b in sentences.sentence_spans(t)]
+    assert spans("৩.৫ kg ok। নতুন") == ["৩.৫ kg ok।", "নতুন"]  # SB6 with Bengali digits
+    assert spans("የመጀመሪያ። ሁለተኛ።") == ["የመጀመሪያ።", "ሁለተኛ።"]  # Ethiopic full stops
+    assert spans("Որ։ Նոր") == ["Որ։", "Նոր"]  # Armenian
+    assert spans("Он ушёл. она осталась. Да") == ["Он ушёл. она осталась.", "Да"]  # SB8 in Cyrillic
+    long = "Word " * 40_000 + ". End"
+    assert len(spans(long)) == 2
+
+
 def test_unit_texts(spark):
     a = spark.createDataFrame([(1, "旧。版。", T0, T0, None), (1, "新。版。", T0 + timedelta(days=1), T0, None), (2, None, T0, T0, None), (None, "x", T0, T0, None)],
                               "page_id bigint, text string, fetched_at timestamp, loaded_at timestamp, source_name string")
