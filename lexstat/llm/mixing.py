@@ -1,7 +1,7 @@
 """Mixing sources to target shares of all tokens, by a low-discrepancy schedule.
 
 The documents of a source, in the order of a seeded hash, form a stream of tokens that is cut into blocks of equal
-token counts and repeated as often as its cap lets it. Slot i of the mix takes its source from the point i times the
+token counts (documents are cut at the blocks' edges) and repeated as often as its cap lets it. Slot i of the mix takes its source from the point i times the
 golden ratio (mod 1) among the cumulative weights of the sources, so every stretch of the mix has nearly the target
 shares; slot and block are joined by the rank of the slot among its source's.
 
@@ -16,6 +16,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 from ..functions.text import folded
 from ..session import spread, staged
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how the rank files' tokenizers split a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Fixed value: the fractional part of the golden ratio.
@@ -61,8 +61,8 @@ def _count(path: str):
     return run
 
 
-def token_sizes(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """doc_id, source (spellings made one; null stays null), tokens; null and empty texts have 0."""
+def token_sizes(documents: DataFrame, tokenizer: str) -> DataFrame:
+    """doc_id, source (spellings made one; null stays null), tokens by a vocabulary file; null and empty texts have 0."""
     d = documents.where("doc_id is not null").select("doc_id", folded(F.col("source")).alias("source"), "text")
     return spread(d, "doc_id").mapInArrow(_count(tokenizer), "doc_id bigint, source string, tokens bigint")
 
@@ -125,7 +125,7 @@ class Plan:
     def stream(self) -> DataFrame:
         """source, doc_id, tokens, copy, at: every drawn copy of a document and its first token's place in its source's stream.
 
-        Drawn are the copies that start before the quota, so a source overshoots by less than one document.
+        Drawn are the copies that start before the quota; of the last one only the tokens up to it.
         """
         w = Window.partitionBy("source", "chunk").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
         placed = (
@@ -134,15 +134,36 @@ class Plan:
             .withColumn("first", F.col("within") + F.col("offset"))
         )
         copies = F.floor((F.col("quota") - 1 - F.col("first")) / F.col("held"))  # last copy that starts before the quota
+        at = F.col("copy") * F.col("held") + F.col("first")
         return (
-            placed.where("first < quota").select("source", "doc_id", "tokens", "first", "held", F.explode(F.sequence(F.lit(0).cast("bigint"), copies)).alias("copy"))
-            .select("source", "doc_id", "tokens", "copy", (F.col("copy") * F.col("held") + F.col("first")).alias("at"))
+            placed.where("first < quota").select("source", "doc_id", "tokens", "first", "held", "quota", F.explode(F.sequence(F.lit(0).cast("bigint"), copies)).alias("copy"))
+            .select("source", "doc_id", F.least("tokens", F.col("quota") - at).alias("tokens"), "copy", at.alias("at"))
         )
 
+    def pieces(self) -> DataFrame:
+        """source, block, doc_id, copy, first_token, tokens, at: the stream cut into blocks; all but a source's last are full.
+
+        first_token: the piece's first token within its document.
+        """
+        size = F.lit(self.block)
+        last = F.floor((F.col("at") + F.col("tokens") - 1) / size)
+        begin, end = F.greatest(F.col("at"), F.col("block") * size), F.least(F.col("at") + F.col("tokens"), (F.col("block") + 1) * size)
+        return self.stream().withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / size), last))).select(
+            "source", "block", "doc_id", "copy", (begin - F.col("at")).alias("first_token"), (end - begin).alias("tokens"), begin.alias("at"))
+
+    def blocks(self) -> dict[str, int]:
+        """Blocks of every drawn source."""
+        return {s: -(-int(round(q)) // self.block) for s, q in self.draw.items() if q >= 1}
+
+    @staticmethod
+    def n_slots(need: dict[str, int]) -> int:
+        """A few slots more than blocks, as a source's slots can lag behind its share by a few."""
+        return sum(need.values()) + 8 * len(need) + 8
+
     def slots(self) -> DataFrame:
         """slot, source, block: the mix in order; the k-th slot of a source takes the k-th block of its stream."""
         spark = self.docs.sparkSession
-        need = {s: -(-int(round(q)) // self.block) for s, q in self.draw.items() if q >= 1}
+        need = self.blocks()
         if not need:
             return spark.createDataFrame([], "slot bigint, source string, block bigint")
         whole, total = sum(need.values()), 0
@@ -150,12 +171,15 @@ class Plan:
         for s in sorted(need):
             total += need[s]
             bounds.append((s, total / whole))
-        # a few slots more than blocks, as a source's slots can lag behind its share by a few
-        n = whole + 8 * len(need) + 8
-        u = (F.lit(0.5) + F.col("id") * F.lit(GOLDEN)) % 1.0
-        passed = F.size(F.filter(F.array(*[F.lit(float(b)) for _, b in bounds[:-1]]).cast("array<double>"), lambda b: b <= u))
-        pick = F.element_at(F.array(*[F.lit(s) for s, _ in bounds]), passed + 1)
-        made = spark.range(n).select(F.col("id").alias("slot"), pick.alias("source"), F.floor(F.col("id") / SLOT_CHUNK).alias("part"))
+        names, edges = [x for x, _ in bounds], np.array([x for _, x in bounds[:-1]])
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sources = pa.array(names)
+            for b in batches:
+                at = np.searchsorted(edges, (0.5 + b.column(0).to_numpy() * GOLDEN) % 1.0, side="right")
+                yield pa.RecordBatch.from_arrays([b.column(0), sources.take(pa.array(at))], names=["slot", "source"])
+
+        made = spark.range(self.n_slots(need)).mapInArrow(pick, "slot bigint, source string").withColumn("part", F.floor(F.col("slot") / SLOT_CHUNK))
         per = made.groupBy("source", "part").agg(F.count(F.lit(1)).alias("c"))
         before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         off = per.select("source", "part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("o"))
@@ -163,8 +187,10 @@ class Plan:
         return made.withColumn("r", rank).join(off, ["source", "part"]).select("slot", "source", (F.col("r") - 1 + F.col("o")).alias("block"))
 
 
-def plan(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, block_tokens: int = 8192, seed: int = 1, tokenizer: str = TOKENIZER, max_sources: int = 10_000) -> Plan:
-    """The plan of a mix of total_tokens (all tokens of the wanted sources by default).
+def plan(documents: DataFrame, targets: DataFrame, tokenizer: str, total_tokens: int | None = None, block_tokens: int = 8192, seed: int = 1, max_sources: int = 10_000) -> Plan:
+    """The plan of a mix of total_tokens (all tokens of the wanted sources by default), counted by a tokenizer's vocabulary file.
+
+    Tokens are counted and summed per source and chunk here; the streams and slots are made when they are read.
 
     documents: doc_id, source, text; targets: source, target_share, max_repeats (null: no cap). Spellings of a source are
     one; documents of no or an unlisted source, and those without tokens, are not drawn. Shares need not sum to 1. A
@@ -174,14 +200,15 @@ def plan(documents: DataFrame, targets: DataFrame, total_tokens: int | None = No
 
 
 def mixed(p: Plan) -> DataFrame:
-    """slot, source, block, at, doc_id, copy, tokens: every drawn document copy; ordered by slot and at it is the mix.
+    """slot, source, block, at, doc_id, copy, first_token, tokens: every drawn piece; ordered by slot and at it is the mix.
 
-    Blocks whose slot would lie behind the schedule's end come last, in slots that follow.
+    Blocks whose slot would lie behind the schedule's end come last, each in a slot of its own that follows.
     """
-    s = p.stream().withColumn("block", F.floor(F.col("at") / p.block))
-    m = s.join(p.slots(), ["source", "block"], "left")
-    late = F.lit(2**40) + F.col("block")
-    return m.select(F.coalesce("slot", late).alias("slot"), "source", "block", "at", "doc_id", "copy", "tokens")
+    need = p.blocks()
+    order = p.docs.sparkSession.createDataFrame([(s, i) for i, s in enumerate(sorted(need))], "source string, _i bigint")
+    m = p.pieces().join(p.slots(), ["source", "block"], "left").join(F.broadcast(order), "source")
+    late = F.lit(p.n_slots(need)) + F.col("block") * len(need) + F.col("_i")
+    return m.select(F.coalesce("slot", late).alias("slot"), "source", "block", "at", "doc_id", "copy", "first_token", "tokens")
 
 
 def shares(p: Plan) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from ..session import staged, table
 from . import abuse, consensus, cooccurrence, heavy_hitters, leakage, markup, mixing, repeated_lines, sentences, term_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Vocabulary file of the tokenizer that p9 counts with.
+TOKENIZER = os.environ.get("LEXSTAT_TOKENIZER", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 
 
 def p1_found(s: SparkSession, d: str) -> DataFrame:
@@ -89,11 +92,11 @@ def p8_items(s: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mix(s: SparkSession, d: str) -> DataFrame:
-    return mixing.mixed(mixing.plan(table(s, d, "documents"), table(s, d, "mix_targets")))
+    return mixing.mixed(mixing.plan(table(s, d, "documents"), table(s, d, "mix_targets"), TOKENIZER))
 
 
 def p9_shares(s: SparkSession, d: str) -> DataFrame:
-    return mixing.shares(mixing.plan(table(s, d, "documents"), table(s, d, "mix_targets")))
+    return mixing.shares(mixing.plan(table(s, d, "documents"), table(s, d, "mix_targets"), TOKENIZER))
 
 
 def _scored(s: SparkSession, d: str) -> tuple[DataFrame, dict[str, float]]:

@@ -12,6 +12,7 @@ import pytest
 from lexstat.llm import abuse, leakage, markup, mixing, repeated_lines, sentences
 
 T0 = datetime(2026, 1, 1)
+TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
 # --- markup
 
@@ -319,30 +320,48 @@ def test_mix(spark):
     docs = [(i, "Big " if r.random() < 0.5 else r.choice(["big", "small", "ＭＩＤ", None, "other"]), "word " * r.randint(0, 40)) for i in range(600)] + [(700, "small", None), (None, "big", "x")]
     d = spark.createDataFrame(docs, "doc_id bigint, source string, text string")
     t = spark.createDataFrame([("big", 0.4, 3), ("mid", 0.3, None), ("small", 0.3, 1), ("absent", 0.1, None), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
-    p = mixing.plan(d, t, total_tokens=9000, block_tokens=64)
+    p = mixing.plan(d, t, TOKENIZER, total_tokens=9000, block_tokens=64)
     rows = mixing.mixed(p).collect()
-    drawn = Counter()
+    drawn, blocks, held = Counter(), defaultdict(Counter), defaultdict(list)
     copies = defaultdict(set)
     for x in rows:
         drawn[x["source"]] += x["tokens"]
-        assert x["copy"] not in copies[x["doc_id"]]
+        blocks[x["source"]][x["block"]] += x["tokens"]
         copies[x["doc_id"]].add(x["copy"])
-        assert x["block"] == x["at"] // 64
+        held[x["doc_id"], x["copy"]].append((x["first_token"], x["first_token"] + x["tokens"]))
+        assert x["block"] == x["at"] // 64 and x["tokens"] > 0
+    for spans in held.values():  # the pieces of a copy follow one another
+        spans.sort()
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    for b in blocks.values():  # all blocks but the last are full
+        assert set(b) == set(range(len(b))) and all(b[i] == 64 for i in range(len(b) - 1)) and b[len(b) - 1] <= 64
+    assert len({(x["slot"], x["source"], x["block"]) for x in rows}) == len({x["slot"] for x in rows}) == sum(map(len, blocks.values()))
     rep = {x["source"]: x for x in mixing.shares(p).collect()}
     assert set(rep) == {"big", "mid", "small", "absent"}
     for s, x in rep.items():
         assert x["drawn_tokens"] == drawn[s] and (x["max_repeats"] is None or x["repeats"] <= x["max_repeats"])
-        assert abs(drawn[s] - p.draw[s]) <= 45
+        assert abs(drawn[s] - p.draw[s]) <= 0.5
     assert sum(x["share"] for x in rep.values()) == pytest.approx(1)
     assert all(s == set(range(len(s))) for s in copies.values())
     slots = [x["source"] for x in p.slots().orderBy("slot").collect()]
     half = Counter(slots[: len(slots) // 2])
     whole = Counter(slots)
     assert all(abs(half[s] - whole[s] / 2) <= 4 for s in whole)
-    empty = mixing.plan(d.limit(0), t)
+    empty = mixing.plan(d.limit(0), t, TOKENIZER)
     assert mixing.mixed(empty).collect() == [] and all(x["share"] == 0 for x in mixing.shares(empty).collect())
 
 
+def test_late_blocks_have_slots_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(mixing.Plan, "n_slots", staticmethod(lambda need: 5))
+    d = spark.createDataFrame([(i, "ab"[i % 2], "word " * 30) for i in range(40)], "doc_id bigint, source string, text string")
+    t = spark.createDataFrame([("a", 0.5, None), ("b", 0.5, None)], "source string, target_share double, max_repeats int")
+    rows = mixing.mixed(mixing.plan(d, t, TOKENIZER, block_tokens=50)).collect()
+    slots = {(x["source"], x["block"]): x["slot"] for x in rows}
+    assert len(set(slots.values())) == len(slots)
+    for s in "ab":
+        assert [slots[s, b] for b in range(5)] == sorted(slots[s, b] for b in range(5))
+
+
 # --- content scores
 
 
