@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -198,18 +198,29 @@ def independence(both: np.ndarray, own: np.ndarray) -> np.ndarray:
         r[i] = np.sqrt(np.clip(np.median(t), 1e-6, 1))
     fair = np.outer(r, r)
     excess = np.nan_to_num(np.clip((a - fair) / np.maximum(1 - fair, 1e-6), 0, 1))
-    return 1 / (1 + np.clip((excess - 0.4) / 0.3, 0, 1).sum(1))
+    return 1 / (1 + np.clip((excess - SHARED_FROM) / SHARED_OVER, 0, 1).sum(1))
 
 
-def fit(cands: DataFrame, names: list[str], iterations: int = 12) -> State:
-    """Coordinate ascent; each iteration is one pass of group-by sums over the candidates."""
+#: Excess agreement from which an annotator's errors count as shared, and from there on until they are wholly so.
+SHARED_FROM, SHARED_OVER = 0.4, 0.3
+
+
+def fit(cands: DataFrame, names: list[str], iterations: int = 40, tolerance: float = 0.0005) -> State:
+    """Coordinate ascent; each iteration is one pass of group-by sums over the candidates.
+
+    It ends when no posterior mean of an annotator's row moves by more than the tolerance, or after so many iterations.
+    """
     n, k = len(names), SCHEME[-1][1] + 1
     weight = independence(*_collected(cands, _agreement(n), 2 * n * n).reshape(2, n, n))
-    state, ratio, prior = None, None, None
+    state, ratio, prior, before = None, None, None, None
     for _ in range(iterations):
         sums = _collected(cands, _sums(n, k, weight, ratio, prior), n * 8 + k * 2)
         state = State(sums[: n * 8].reshape(n, 2, 4) + PRIOR_ROWS, sums[n * 8 :].reshape(k, 2) + PRIOR_CLASS, weight)
         ratio, prior = state.expectations()
+        mean = state.rows / state.rows.sum(2, keepdims=True)
+        if before is not None and np.abs(mean - before).max() < tolerance:
+            break
+        before = mean
     return state
 
 
@@ -264,12 +275,11 @@ def consensus(df: DataFrame, min_models: int = 5, cut: float = 0.5) -> DataFrame
 def agreement(df: DataFrame) -> DataFrame:
     """n_words, n_units, n_judgments, alpha: Krippendorff's nominal alpha over every word and category of the scheme.
 
-    A unit is a word and a category; a judgment says whether the annotator's first pass gave it. Words judged by one
-    annotator only have no pairs and are left out. alpha is null where there is no pair or no disagreement to expect.
+    A unit is a word and a category; every usable line, that is every pass of an annotator, is a judgment that says
+    whether it gave the category. Words with a single judgment have no pairs and are left out. alpha is null where there is no pair or no disagreement to expect.
     """
     lines = usable_lines(df)
-    first = lines.withColumn("r", F.row_number().over(Window.partitionBy("word", "model").orderBy(F.asc_nulls_last("pass_seed")))).where("r = 1")
-    words = first.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("cats")).alias("given"), F.flatten(F.collect_list("cats")).alias("all")).where("n >= 2")
+    words = lines.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("cats")).alias("given"), F.flatten(F.collect_list("cats")).alias("all")).where("n >= 2")
     size = sum(hi - lo + 1 for lo, hi in SCHEME)
     # disagreement within a word: per category with k of n yes, k (n - k) ordered-pair halves over n - 1
     inside = F.aggregate(

@@ -160,7 +160,7 @@ WITH v AS (SELECT word, lower(trim(model, ' ')) AS model, pass_seed, categories,
            WHERE word IS NOT NULL AND model IS NOT NULL AND trim(model, ' ') <> ''),
 l AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY word, model, pass_seed ORDER BY received_at DESC, (categories IS NOT NULL) DESC, categories DESC) = 1),
 f AS (SELECT word, model, list_distinct(list_filter(categories, lambda c: c BETWEEN 10 AND 19 OR c BETWEEN 20 AND 27 OR c BETWEEN 30 AND 38 OR c BETWEEN 40 AND 47 OR c BETWEEN 50 AND 57)) AS cats
-      FROM l WHERE categories IS NOT NULL QUALIFY row_number() OVER (PARTITION BY word, model ORDER BY pass_seed) = 1),
+      FROM l WHERE categories IS NOT NULL),
 w AS (SELECT word, count(*) AS n, sum(len(cats)) AS given FROM f GROUP BY word HAVING count(*) >= 2),
 k AS (SELECT word, c, count(*) AS k FROM (SELECT word, unnest(cats) AS c FROM f) GROUP BY 1, 2),
 d AS (SELECT sum(k.k * (w.n - k.k) / (w.n - 1)::DOUBLE) AS d FROM k JOIN w USING (word)),
