@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -151,8 +152,62 @@ def _llr() -> str:
     return f"(CASE WHEN n_ab < n_a::DOUBLE * n_b / n THEN -1 ELSE 1 END) * greatest(2 * ({total}), 0)"
 
 
+def _folded_sql(c: str) -> str:
+    """SQL of functions.text.fold for wide and half-width forms, the ones that terms and lines come in.
+
+    Half-width kana with a voicing mark are two characters for one; all other forms are one for one.
+    """
+    narrow = lambda x: unicodedata.normalize("NFKC", x)
+    forms = [x for x in map(chr, [0x3000, *range(0xFF01, 0xFFEF)]) if len(narrow(x)) == 1 and narrow(x) != x]
+    for x in map(chr, range(0xFF66, 0xFF9E)):
+        for mark in "ﾞﾟ":
+            if len(narrow(x + mark)) == 1:
+                c = f"replace({c}, '{x}{mark}', '{narrow(x + mark)}')"
+    quote = lambda x: x.replace("'", "''")
+    blanks = "".join(x for x in map(chr, range(0x3001)) if x.isspace())
+    return f"trim(lower(translate({c}, '{quote(''.join(forms))}', '{quote(''.join(map(narrow, forms)))}')), '{blanks}')"
+
+
+def _frequencies_sql() -> str:
+    return f"""
+WITH v AS (SELECT record_id, kind, {_folded_sql('term')} AS term, total, alone, loaded_at FROM term_counts
+           WHERE total > 0 AND record_id IS NOT NULL AND kind IS NOT NULL AND term IS NOT NULL),
+r AS (SELECT * FROM v WHERE term <> ''
+      QUALIFY row_number() OVER (PARTITION BY kind, term, record_id ORDER BY loaded_at DESC NULLS LAST, total DESC, alone DESC NULLS LAST) = 1),
+t AS (SELECT kind, term, sum(total)::BIGINT AS occurrences, sum(alone)::BIGINT AS alone, count(*) AS records FROM r GROUP BY 1, 2),
+n AS (SELECT count(DISTINCT record_id) AS n FROM r)
+SELECT kind, term, occurrences, alone, records, records / n::DOUBLE AS share,
+       CASE WHEN records > 0.2::DOUBLE * n THEN 'common' WHEN occurrences < 3 THEN 'rare' ELSE 'useful' END AS verdict FROM t, n"""
+
+
+def _totals_sql() -> str:
+    return f"""
+WITH l AS (SELECT run_id, line_no, any_value(term) AS term, any_value(cnt) AS cnt FROM run_lines
+           WHERE cnt > 0 AND term IS NOT NULL AND run_id IS NOT NULL AND line_no IS NOT NULL GROUP BY run_id, line_no
+           UNION ALL SELECT run_id, line_no, term, cnt FROM run_lines WHERE cnt > 0 AND term IS NOT NULL AND (run_id IS NULL OR line_no IS NULL)),
+f AS (SELECT {_folded_sql('term')} AS term, cnt FROM l),
+t AS (SELECT term, sum(cnt)::BIGINT AS total FROM f WHERE term <> '' GROUP BY term)"""
+
+
+def _repeated_sql() -> str:
+    return f"""
+WITH v AS (SELECT page_id, max(struct_pack(a := fetched_at, b := loaded_at, t := text, s := source_name)) AS v FROM articles WHERE page_id IS NOT NULL GROUP BY page_id),
+p AS (SELECT page_id, v.s AS source, v.t AS text FROM v WHERE v.s IS NOT NULL AND v.t <> ''),
+s AS (SELECT source, count(*) AS pages FROM p GROUP BY source),
+l AS (SELECT page_id, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10)))))::INT AS line_no FROM p),
+k AS (SELECT page_id, source, line_no, regexp_replace({_folded_sql('line')}, '\\P{{L}}', '', 'g') AS letters FROM l),
+c AS (SELECT source, letters, count(DISTINCT page_id) AS n FROM k WHERE letters <> '' GROUP BY 1, 2)
+SELECT page_id, line_no FROM k JOIN c USING (source, letters) JOIN s USING (source) WHERE n >= 3 AND n >= 0.06::DOUBLE * pages"""
+
+
 def oracle_sql() -> dict[str, str]:
+    top = _totals_sql() + " SELECT term, total, row_number() OVER (ORDER BY total DESC, term)::INT AS rank FROM t QUALIFY rank <= 100"
     return {
+        "p2_frequencies": _frequencies_sql(),
+        "p2_found": f"SELECT kind, term, verdict FROM ({_frequencies_sql()}) WHERE verdict <> 'useful'",
+        "p3_found": _totals_sql() + " SELECT term FROM t WHERE total >= 0.001::DOUBLE * (SELECT sum(total) FROM t)",
+        "p3_top100": top,
+        "p5_found": _repeated_sql(),
         "p6_found": _PAIRS + "SELECT word_a, word_b FROM p WHERE n_ab >= 5 AND n_ab * 10000 >= n AND n_ab * n >= 10 * n_a * n_b",
         "p6_pairs": _PAIRS + f"SELECT word_a, word_b, n_ab, n_a, n_b, n, round(n_ab / (n_a::DOUBLE * n_b / n), 6) AS lift, round({_llr()}, 4) + 0.0 AS llr FROM p",
         "p1_agreement": """
