@@ -131,8 +131,10 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 def _judged(spark: SparkSession, a: argparse.Namespace, words: DataFrame) -> DataFrame:
     read = lambda n: spark.read.parquet(os.path.join(a.artifacts_dir, n))
     dom = read("domains") if exists(spark, os.path.join(a.artifacts_dir, "domains")) else None
-    units = spark.read.parquet(os.path.join(a.counts_dir, "compounds")) if a.counts_dir else None
-    return judge.judged(words, read("buckets"), read("components"), dom, units, a.threshold, a.concatenation, a.upper, a.lower, a.document_domain)
+    unit_dirs = [p for p in (a.counts_dir, a.docs_counts_dir) if p]
+    units = judge.composition_units(*[spark.read.parquet(os.path.join(p, "compounds")) for p in unit_dirs]) if unit_dirs else None
+    domain = judge.document_domain(a.document_domain) if a.document_domain else None
+    return judge.judged(words, read("buckets"), read("components"), dom, units, a.threshold, a.concatenation, a.upper, a.lower, domain)
 
 
 #: Rows of a written table that a command shows.
@@ -149,8 +151,22 @@ def _put(spark: SparkSession, a: argparse.Namespace, rows: DataFrame, name: str)
 def judge_words(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.concatenation == "composition" and not a.counts_dir:
         raise ValueError("--concatenation composition needs --counts-dir")
-    words = spark.createDataFrame([(w,) for w in a.words], "word string") if a.words else readers.target_words(spark, a.eval)
-    _put(spark, a, _judged(spark, a, words), "judgments")
+    if a.words:
+        words = spark.createDataFrame([(w,) for w in a.words], "word string")
+        judged = _judged(spark, a, words)
+        _put(spark, a, judged.join(judge.rendered(judged), "word"), "judgments")
+        return
+    coined, established = readers.eval_words(spark, a.eval[0]), [readers.eval_words(spark, p) for p in a.eval[1:]]
+    every = _all([x.select("word") for x in (coined, *established)])
+    judged = _judged(spark, a, every)
+    tables = [x.join(judged, "word").select(F.lit(os.path.basename(p)).alias("set"), "row_no", "word", F.lit(None).cast("string").alias("category"), "verdict", "reason") for p, x in zip(a.eval[1:], established)]
+    if established or a.categories:  # the first file holds coined words by category
+        rows = judge.collected(judged, coined).select(F.lit("coined").alias("set"), "row_no", "word", "category", "verdict", "reason")
+    else:
+        rows = coined.join(judged, "word").select(F.lit(os.path.basename(a.eval[0])).alias("set"), "row_no", "word", "category", "verdict", "reason")
+    rows = _all([rows, *tables])
+    _put(spark, a, rows, "judgments")
+    judge.confusion(rows.withColumn("group", F.coalesce("category", "set")), "group").show(PREVIEW, False)
 
 
 def query_words(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -213,14 +229,16 @@ def parser() -> argparse.ArgumentParser:
     c = command("judge", judge_words)
     c.set_defaults(out_dir=None)
     c.add_argument("words", nargs="*")
-    c.add_argument("--eval")
+    c.add_argument("--eval", nargs="+")
+    c.add_argument("--categories", action="store_true")
+    c.add_argument("--docs-counts-dir")
     c.add_argument("--artifacts-dir", required=True)
     c.add_argument("--counts-dir")
     c.add_argument("--threshold", type=int, default=judge.THRESHOLD)
     c.add_argument("--concatenation", choices=judge.RULES, default="off")
     c.add_argument("--upper", type=int, default=judge.UPPER)
     c.add_argument("--lower", type=int, default=judge.LOWER)
-    c.add_argument("--document-domain", type=int, choices=[k for k in domains.DOMAINS if k != domains.GENERAL])
+    c.add_argument("--document-domain", choices=[v for k, v in domains.DOMAINS.items() if k != domains.GENERAL])
     c = command("query", query_words)
     c.set_defaults(out_dir=None)
     c.add_argument("words", nargs="+")

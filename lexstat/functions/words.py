@@ -30,8 +30,18 @@ def long_vowel_variants(word: Column) -> Column:
 
 
 def class_top(code: Column) -> Column:
-    """The part of a class code before the dot."""
-    return F.regexp_extract(code, r"^([^.]*)", 1)
+    """Division of a class code (1.4); - of anything else."""
+    return F.when(code.rlike(r"^\d\.\d"), F.substring(code, 1, 3)).otherwise("-")
+
+
+def class_mid(code: Column) -> Column:
+    """Middle item of a class code (1.45); anything else as it is, - of null."""
+    return F.coalesce(F.when(code.rlike(r"^\d\.\d\d"), F.substring(code, 1, 4)).otherwise(code), F.lit("-"))
+
+
+def class_top_or_value(code: Column) -> Column:
+    """Division of a class code; anything else as it is."""
+    return F.when(code.rlike(r"^\d\.\d"), F.substring(code, 1, 3)).otherwise(code)
 
 
 def tag_names(tags: Column) -> Column:

@@ -125,8 +125,28 @@ def merged_runs(lines: DataFrame, key: str = "term") -> DataFrame:
     return d.groupBy(key).agg(F.sum("cnt").alias("cnt"))
 
 
+def check_inputs(inputs: dict[str, dict], weights: dict[str, float], min_count: int) -> None:
+    """Raises unless weights are finite and not negative, min_count is at least 3, all inputs were counted with the same
+    setting for unknown words, and all or none have domain counts. inputs: name to its stats (unknown, domains)."""
+    for w in weights.values():
+        if not 0 <= w < float("inf"):
+            raise ValueError("weights must be finite and not negative")
+    if min_count < BUCKET_FLOORS[0]:
+        raise ValueError(f"min_count must be at least {BUCKET_FLOORS[0]}")
+    for what in ("unknown", "domains"):
+        if len({bool(x.get(what)) for x in inputs.values()}) > 1:
+            raise ValueError(f"the inputs differ in {what}")
+
+
+def digest(table: DataFrame) -> str:
+    """A hash of a table's rows that their order does not change: the sum of 64-bit row hashes, and the number of rows."""
+    s, n = table.agg(F.sum(F.xxhash64(*sorted(table.columns)).cast("decimal(20,0)")), F.count(F.lit(1))).first()
+    return f"{int(s or 0) % 2**64:016x}-{n}"
+
+
 def manifest(buckets: DataFrame, parts: DataFrame, weights: dict[str, float] = WEIGHTS, version: str = "") -> dict:
     """What a release says of itself: version, weights, bucket ranges and key counts per bucket (at most seven groups)."""
     per = {r["bucket"]: r["n"] for r in buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {"version": version, "weights": dict(weights), "buckets": [{"bucket": i + 1, "low": lo, "keys": per.get(i + 1, 0)} for i, lo in enumerate(BUCKET_FLOORS)]
-            + [{"bucket": HEADWORD_BUCKET, "low": None, "keys": per.get(HEADWORD_BUCKET, 0)}], "components": parts.count()}
+            + [{"bucket": HEADWORD_BUCKET, "low": None, "keys": per.get(HEADWORD_BUCKET, 0)}], "components": parts.count(),
+            "digests": {"buckets": digest(buckets), "components": digest(parts)}}

@@ -132,3 +132,45 @@ def case_frames(frames: DataFrame) -> DataFrame:
 def source_sizes(docs: DataFrame) -> DataFrame:
     """source, documents, text_bytes; a null source is a source of its own, null texts have no bytes."""
     return docs.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("text_bytes"))
+
+
+#: Kinds of a noun's modifier.
+MODIFIER_KINDS = ("の", "連体", "連用", "その他", "なし")
+
+
+def frame_tables(frames: DataFrame, targets: DataFrame) -> DataFrame:
+    """word, case, predicate, cnt: dependencies of target nouns that stand alone; with null case and predicate the word's
+    total; with a null word as well, the number of occurrences that are part of a compound (joined).
+
+    frames: word, case, predicate, standalone; targets: word. Rows with a null in any column are left out.
+    """
+    d = frames.where("word is not null and `case` is not null and predicate is not null and standalone is not null").join(targets.select("word").distinct(), "word", "left_semi")
+    alone = d.where("standalone").groupingSets([[F.col("word"), F.col("case"), F.col("predicate")], [F.col("word")]], F.col("word"), F.col("case"), F.col("predicate")).agg(F.count(F.lit(1)).alias("cnt"))
+    joined = d.where("not standalone").agg(F.count(F.lit(1)).alias("cnt")).select(*[F.lit(None).cast(alone.schema[c].dataType).alias(c) for c in ("word", "case", "predicate")], "cnt")
+    return alone.select("word", "case", "predicate", "cnt").unionByName(joined)
+
+
+def modifier_counts(modifiers: DataFrame, targets: DataFrame) -> DataFrame:
+    """word, kind, modifier, cnt of target nouns that stand alone; kinds outside MODIFIER_KINDS count as その他.
+
+    modifiers: word, kind, modifier, standalone; a noun without one has kind なし and an empty modifier.
+    """
+    d = modifiers.where("word is not null and standalone").join(targets.select("word").distinct(), "word", "left_semi")
+    kind = F.when(F.col("kind").isin(*MODIFIER_KINDS), F.col("kind")).when(F.col("kind").isNull(), "なし").otherwise("その他")
+    return d.groupBy("word", kind.alias("kind"), F.coalesce("modifier", F.lit("")).alias("modifier")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def marginals(table: DataFrame, keys: list[str], sets: list[list[str]], value: str = "cnt") -> DataFrame:
+    """keys, cnt: sums of a table over each of the sets of keys, null for a key summed over. Rows with a null key are left out."""
+    d = table.where(" and ".join(f"`{k}` is not null" for k in keys))
+    return d.groupingSets([[F.col(k) for k in x] for x in sets], *map(F.col, keys)).agg(F.sum(value).alias("cnt"), F.grouping_id().alias("level"))
+
+
+def noun_totals(nouns: DataFrame) -> DataFrame:
+    """tokens, distinct of a noun table (word, total)."""
+    return nouns.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("distinct"))
+
+
+def target_counts(docs: DataFrame, targets: DataFrame, **kw) -> DataFrame:
+    """word, cnt: occurrences of target nouns, with or without a context."""
+    return noun_rows(docs, [], **kw).join(targets.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))

@@ -113,6 +113,17 @@ def _folded(d: DataFrame, general_threshold: int) -> DataFrame:
     return g.select("word", F.explode(F.when(F.size("ds") >= general_threshold, F.array(F.lit(GENERAL))).otherwise(F.col("ds"))).alias("domain"))
 
 
+def domain_key(domain: Column, word: Column) -> Column:
+    """word<tab>code: the key of a word's registration in a domain; the word may be empty."""
+    return F.concat(word, F.lit("\t"), domain.cast("string"))
+
+
+def split_domain_key(key: Column) -> tuple[Column, Column]:
+    """Word and code of a domain_key; both null unless it ends in a tab and a code of 1 to 8."""
+    ok = key.rlike("(?s)^.*\t[1-8]$")
+    return F.when(ok, F.regexp_extract(key, "(?s)^(.*)\t[1-8]$", 1)), F.when(ok, F.substring(key, -1, 1).cast("int"))
+
+
 def domain_bits(domain: Column) -> Column:
     """Aggregate: the set of domain codes as bits."""
     return F.bit_or(F.call_function("shiftleft", F.lit(1), domain - 1))

@@ -42,6 +42,36 @@ def sweep(rows: DataFrame, thresholds: list[float]) -> DataFrame:
     return matrix(rows.select("truth", "score", t).select("threshold", "truth", (F.col("score") >= F.col("threshold")).alias("flagged")), ["threshold"])
 
 
+def exempted(findings: DataFrame, exempt: DataFrame) -> DataFrame:
+    """Findings whose normalised form (word) and surface are both outside the exempt words (word)."""
+    x = exempt.where("word is not null").select("word").distinct()
+    return findings.join(x, "word", "left_anti").join(x.select(F.col("word").alias("surface")), "surface", "left_anti").select(*findings.columns)
+
+
+def conditions(rows: DataFrame, cases: list[tuple[str, float, list[str]]], exemptions: DataFrame) -> DataFrame:
+    """condition and matrix columns for every case (name, threshold, names of exemption lists), in one pass.
+
+    rows: word, surface, score, truth; exemptions: list, word. A row is flagged if its score reaches the threshold and
+    neither its word nor its surface is in one of the case's lists.
+    """
+    lists = exemptions.where("word is not null").groupBy("word").agg(F.collect_set("list").alias("ls"))  # few lists
+    d = rows.join(lists.select("word", F.col("ls").alias("_a")), "word", "left").join(lists.select(F.col("word").alias("surface"), F.col("ls").alias("_b")), "surface", "left")
+    none = F.array().cast("array<string>")
+    held = F.concat(F.coalesce("_a", none), F.coalesce("_b", none))
+    case = F.explode(F.array(*[F.struct(F.lit(n).alias("condition"), F.lit(float(t)).alias("t"), F.array(*map(F.lit, ls)).cast("array<string>").alias("ls")) for n, t, ls in cases]))
+    d = d.select("truth", "score", held.alias("held"), case.alias("c"))
+    flagged = (F.col("score") >= F.col("c.t")) & ~F.arrays_overlap("held", "c.ls")
+    return matrix(d.select(F.col("c.condition").alias("condition"), "truth", flagged.alias("flagged")), ["condition"])
+
+
+def first_rows(rows: DataFrame, order: str, n: int = 50) -> DataFrame:
+    """The first n rows in order; fewer are an error."""
+    got = rows.orderBy(order).limit(n)
+    if got.count() < n:
+        raise ValueError(f"fewer than {n} rows")
+    return got
+
+
 def run_difference(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """keys, change: lost, gained or kept, of two runs' distinct findings."""
     u = old.select(*keys).distinct().withColumn("o", F.lit(1)).withColumn("n", F.lit(0)).unionByName(

@@ -7,23 +7,30 @@ from pyspark.sql import functions as F
 
 from ..morph import regex_morphemes
 from ..session import staged
-from .domains import GENERAL
+from .domains import DOMAINS, GENERAL, domain_labels
 from .segment import is_whole_span
 
 #: Default thresholds.
 THRESHOLD, UPPER, LOWER = 1000, 300, 100
 RULES = ("off", "established", "gray", "composition")
+#: Fixed value: least count of a unit of composition.
+MIN_UNIT = 3
+#: Names of verdicts, reasons, and kinds of collected words.
+VERDICTS = {"Established": "既存語", "Gray": "グレー", "RepurposeCandidate": "転用の候補", "Coined": "造語の候補", "NotCandidate": "候補外"}
+REASONS = {"Dictionary": "辞書", "HighFrequency": "高頻度", "LowFrequency": "低頻度", "Concatenation": "連結", "Composition": "構成", "Domain": "分野", "Constituent": "部品", "Unregistered": "未登録", "Span": "区間"}
+COLLECTED = ("造語", "言い換え", "意味の転用")
+UNREGISTERED = "未登録"
 
 
 def judged(
     words: DataFrame, buckets: DataFrame, parts: DataFrame, domains: DataFrame | None = None, units: DataFrame | None = None,
     threshold: int = THRESHOLD, rule: str = "off", upper: int = UPPER, lower: int = LOWER, document_domain: int | None = None, provider=regex_morphemes,
 ) -> DataFrame:
-    """word, verdict, reason of every distinct non-null word.
+    """word, verdict, reason and, with a document's domain, domains (codes, sorted, else empty) of every distinct non-null word.
 
     buckets: key, bucket; parts: part, frequency; domains: word, domain; units: key, cnt. A word that is no whole span
     is no candidate. Bucket 7 makes it established by dictionary, 2 to 5 by frequency, 1 gray. An established word
-    whose domains are neither general nor the document's becomes a repurpose candidate. Without a bucket, words of
+    whose domains are neither general nor the document's becomes a repurpose candidate by domain. Without a bucket, words of
     three or more morphemes first go through the rule on their adjacent pairs or splits; the rest is coined, by
     constituents if every part is more frequent than threshold, else as unregistered.
     """
@@ -71,11 +78,37 @@ def judged(
         w = w.join(sets, "word", "left").join(sets.select(F.col("word").alias("norm"), F.col("ds").alias("ds2")), "norm", "left")
         ds = F.coalesce("ds", "ds2")
         strange = ds.isNotNull() & ~F.array_contains(ds, F.lit(GENERAL)) & ~F.array_contains(ds, F.lit(document_domain))
-        w = w.withColumn("v", F.when((F.col("v.verdict") == "Established") & F.coalesce(strange, F.lit(False)),
-                                     F.struct(F.lit("RepurposeCandidate").alias("verdict"), F.array_join(F.array_sort(ds), "・").alias("reason"))).otherwise(F.col("v")))
+        moved = (F.col("v.verdict") == "Established") & F.coalesce(strange, F.lit(False))
+        w = w.withColumn("v", F.when(moved, F.struct(F.lit("RepurposeCandidate").alias("verdict"), F.lit("Domain").alias("reason"))).otherwise(F.col("v")))
+        return w.select("word", "v.verdict", "v.reason", F.array_sort(F.coalesce(ds, F.array().cast("array<int>"))).alias("domains"))
     return w.select("word", "v.verdict", "v.reason")
 
 
+def rendered(judgments: DataFrame) -> DataFrame:
+    """word, text: verdict and reason by their names, parted by a tab; a reason by domain names the word's domains."""
+    name = lambda names, c: F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col(c))
+    reason = name(REASONS, "reason")
+    if "domains" in judgments.columns:
+        reason = F.when(F.col("reason") == "Domain", F.concat(reason, F.lit("("), domain_labels(F.col("domains")), F.lit(")"))).otherwise(reason)
+    return judgments.select("word", F.concat_ws("\t", name(VERDICTS, "verdict"), reason).alias("text"))
+
+
+def document_domain(label: str) -> int:
+    """The code of a domain's name; a document can't be of the general one."""
+    code = next((k for k, v in DOMAINS.items() if v == label), None)
+    if code is None or code == GENERAL:
+        raise ValueError("a document's domain is one of " + "・".join(v for k, v in DOMAINS.items() if k != GENERAL))
+    return code
+
+
+def composition_units(*counts: DataFrame) -> DataFrame:
+    """key, cnt: counts of all inputs (key, cnt) together, where they come to MIN_UNIT; null keys and counts are left out."""
+    every = counts[0].select("key", "cnt")
+    for c in counts[1:]:
+        every = every.unionByName(c.select("key", "cnt"))
+    return every.where("key is not null and cnt is not null").groupBy("key").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") >= MIN_UNIT)
+
+
 def composition_scores(words: DataFrame, units: DataFrame, parts: DataFrame) -> DataFrame:
     """word, best: over all splits of a word in two, the largest smaller count of its halves.
 
@@ -93,13 +126,39 @@ def composition_scores(words: DataFrame, units: DataFrame, parts: DataFrame) ->
     return low.groupBy("word").agg(F.max("n").alias("best"))
 
 
-def lookup(words: DataFrame, buckets: DataFrame, parts: DataFrame, provider=regex_morphemes) -> DataFrame:
-    """word, bucket (null: not registered), parts as `part:frequency` in order."""
-    w = words.where("word is not null").select("word").distinct().withColumn("ms", provider(F.col("word")))
-    m = w.select("word", F.posexplode_outer(F.transform("ms", lambda x: x["surface"])).alias("i", "part")).join(
-        parts.groupBy("part").agg(F.max("frequency").alias("frequency")), "part", "left")
-    shown = m.groupBy("word").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", F.concat_ws(":", "part", F.coalesce("frequency", F.lit(0)).cast("string")).alias("s")))), lambda x: x["s"]), " ").alias("parts"))
-    return shown.join(buckets.groupBy(F.col("key").alias("word")).agg(F.max("bucket").alias("bucket")), "word", "left").select("word", "bucket", "parts")
+#: Partner counts of a part, in the order in which they are shown.
+PARTNERS = ("prefix_foreign", "prefix_kango", "suffix_foreign", "suffix_kango")
+
+
+def lookup(words: DataFrame, buckets: DataFrame, parts: DataFrame, long_units: Column | None = None, provider=regex_morphemes) -> DataFrame:
+    """word, bucket (null: not registered), parts as `part:frequency:` and the four partner counts, in order.
+
+    The bucket is the surface's, else the normalised form's. parts: part, frequency and PARTNERS, as far as they are
+    there; what is missing counts 0. long_units: the word's long units (array), shown behind the parts.
+    """
+    w = words.where("word is not null").select("word", *([long_units.alias("_l")] if long_units is not None else [])).distinct().withColumn("ms", provider(F.col("word")))
+    w = w.withColumn("_norm", F.array_join(F.transform("ms", lambda x: x["norm"]), ""))
+    shown = F.transform("ms", lambda x: x["surface"])
+    if long_units is not None:
+        shown = F.concat(shown, F.coalesce("_l", F.array().cast("array<string>")))
+    have = ["frequency", *[c for c in PARTNERS if c in parts.columns]]
+    per = parts.groupBy("part").agg(*[F.max(c).alias(c) for c in have])
+    m = w.select("word", "_norm", F.posexplode_outer(shown).alias("i", "part")).join(per, "part", "left")
+    cell = F.concat_ws(":", "part", *[F.coalesce(c, F.lit(0)).cast("string") if c in have else F.lit("0") for c in ("frequency", *PARTNERS)])
+    rows = m.groupBy("word", "_norm").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", cell.alias("s")))), lambda x: x["s"]), " ").alias("parts"))
+    b = buckets.groupBy("key").agg(F.max("bucket").alias("bucket"))
+    rows = rows.join(b.select(F.col("key").alias("word"), F.col("bucket").alias("_b1")), "word", "left").join(b.select(F.col("key").alias("_norm"), F.col("bucket").alias("_b2")), "_norm", "left")
+    return rows.select("word", F.coalesce("_b1", "_b2").alias("bucket"), "parts")
+
+
+def collected(judgments: DataFrame, rows: DataFrame) -> DataFrame:
+    """row_no, word, category, verdict, reason of every row of an evaluation file; a category outside COLLECTED is an error.
+
+    rows: row_no, word, category.
+    """
+    bad = F.raise_error(F.concat(F.lit("row "), F.col("row_no").cast("string"), F.lit(": no category among " + "・".join(COLLECTED))))
+    checked = rows.withColumn("category", F.when(F.col("category").isin(*COLLECTED), F.col("category")).otherwise(bad.cast("string")))
+    return checked.join(judgments, "word").select("row_no", "word", "category", "verdict", "reason")
 
 
 def tallies(judgments: DataFrame, group: str | None = None) -> DataFrame:

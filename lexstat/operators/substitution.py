@@ -40,6 +40,21 @@ def rates_per_million(counts: DataFrame, group: str, key: str = "term", value: s
     return j.select(group, key, "cnt", F.round(F.col("cnt") * 1e6 / F.col("tokens"), 6).alias("rate"))
 
 
+def best_rates(counts: DataFrame, corpora: list[str], group: str = "corpus", key: str = "term", value: str = "total") -> DataFrame:
+    """key, rate: the largest of a word's rates per million in the given corpora, 0 where it has none."""
+    r = rates_per_million(counts.where(F.col(group).isin(*corpora)), group, key, value)
+    words = counts.where(F.col(key).isNotNull()).select(key).distinct()
+    return words.join(r.groupBy(key).agg(F.max("rate").alias("rate")), key, "left").select(key, F.coalesce("rate", F.lit(0.0)).alias("rate"))
+
+
+def response_tallies(responses: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, responses, empty, errors: responses (candidates array, error string) in all, without a candidate, and failed."""
+    named = F.filter(F.coalesce("candidates", F.array().cast("array<string>")), lambda c: c.isNotNull() & (c != ""))
+    failed = F.coalesce("error", F.lit("")) != ""
+    return responses.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("responses"), F.count_if(~failed & (F.size(named) == 0)).alias("empty"), F.count_if(failed).alias("errors"))
+
+
 def fan_in(links: DataFrame, to: str, of: str, min_words: int = 2) -> DataFrame:
     """to, words: targets that at least min_words different words lead to."""
     d = links.where(F.col(to).isNotNull() & F.col(of).isNotNull()).select(to, of).distinct()

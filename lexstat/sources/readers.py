@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..morph import regex_morphemes
 from ..operators.segment import is_registrable
+from ..session import exists
 
 RECORD = "namespace bigint, page_id bigint, title string, text string, weighted_tags array<string>, redirect array<struct<namespace:bigint,title:string>>"
 VOTE = ("word string, categories array<int>, model string, date string, contract string, context_used string, tier string, jmdict_priority boolean, "
@@ -203,3 +204,43 @@ def novelty_table(spark: SparkSession, path: str) -> DataFrame:
 def answer_rows(spark: SparkSession, path: str) -> DataFrame:
     """word, fragment, answer of a table with a header; rows with fewer than three columns are left out."""
     return spark.read.csv(path, sep="\t", header=True, schema="word string, fragment string, answer string", quote="").where("answer is not null")
+
+
+def eval_words(spark: SparkSession, path: str, header: str = "語", word_column: int = 0, category_column: int = 3) -> DataFrame:
+    """row_no (1-based line of the file), word, category (null if there is no such column) of an evaluation table.
+
+    Cells are trimmed; the header row and rows without a word are left out. The files are small, read whole.
+    """
+    d = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("_i", "_line"))
+    cell = lambda i: F.trim(F.get(F.split("_line", "\t"), i))
+    d = d.select((F.col("_i") + 1).alias("row_no"), cell(word_column).alias("word"), cell(category_column).alias("category"))
+    return d.where((F.col("word") != "") & (F.col("word") != header))
+
+
+def stats(spark: SparkSession, path: str, schema: str) -> dict:
+    """A small JSON record by a schema (DDL): fields must be there and of their type, else an error."""
+    row = spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").first()
+    if row is None or any(v is None for v in row):
+        raise ValueError(f"{path}: fields missing")
+    return row.asDict(recursive=True)
+
+
+def count_tables(spark: SparkSession, dirs: list[str], name: str) -> DataFrame:
+    """key, cnt: the count tables of one name in several folders, added up; a folder without it counts nothing."""
+    paths = [p for p in (f"{d.rstrip('/')}/{name}" for d in dirs) if exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], "key string, cnt bigint")
+    return count_table(spark, paths).groupBy("key").agg(F.sum("cnt").alias("cnt"))
+
+
+def noun_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """word, total, alone of lines `word<tab>total<tab>alone`, added up over files; an empty alone is 0."""
+    f = F.split("value", "\t")
+    d = spark.read.text(path).select(f[0].alias("word"), F.get(f, 1).try_cast("bigint").alias("total"), F.coalesce(F.get(f, 2).try_cast("bigint"), F.lit(0)).alias("alone")).where("total is not null")
+    return d.groupBy("word").agg(F.sum("total").alias("total"), F.sum("alone").alias("alone"))
+
+
+def word_list(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """word: the union of word lists; blank lines and lines that begin with # are left out."""
+    d = spark.read.text(paths).select(F.trim("value").alias("word"))
+    return d.where((F.col("word") != "") & ~F.col("word").startswith("#")).distinct()

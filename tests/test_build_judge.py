@@ -143,7 +143,7 @@ def test_judgments(spark):
     assert judge_one(spark, "検証認証データ", units=[("検証認証", 140)], **comp) == ("Gray", "Composition")
     assert judge_one(spark, "検証認証データ", units=[("検証認証", 5)], **comp) == ("Coined", "Unregistered")
     dom = dict(buckets=[("樹形図解", 4)], dom=[("樹形図解", 2), ("樹形図解", 3)])
-    assert judge_one(spark, "樹形図解", **dom, document_domain=1) == ("RepurposeCandidate", "2・3")
+    assert judge_one(spark, "樹形図解", **dom, document_domain=1) == ("RepurposeCandidate", "Domain")
     assert judge_one(spark, "樹形図解", **dom, document_domain=2)[0] == "Established"
     with pytest.raises(ValueError):
         judge_one(spark, "x", rule="none")
