@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.markup import flatten_text
 from ..functions.words import gloss_core, script
+from ..morph import regex_morphemes
 from ..operators import build, counts, domains, evals, features, judge, segment, substitution, votes
 from ..session import spread, table
 
@@ -73,6 +74,17 @@ def compound_document_counts(s: SparkSession, d: str) -> DataFrame:
     return counts.compound_counts(_texts(s, d), by_document=True, bridge=False)
 
 
+def _as_provider(text):
+    """The character-class provider under another name, so that the ways for any analyser's morphemes are taken."""
+    return regex_morphemes(text)
+
+
+@query("WITH" + _KEYS + "SELECT key, count(*) AS cnt FROM k GROUP BY key")
+def morpheme_compound_counts(s: SparkSession, d: str) -> DataFrame:
+    """Compounds over spans of given morphemes."""
+    return counts.compound_counts(_texts(s, d), bridge=False, provider=_as_provider)
+
+
 @query("WITH" + _SPANS + f"""
 m AS (SELECT regexp_extract_all(s, '{_MORPH}') AS ms FROM sp)
 SELECT part, count(*) AS cnt FROM (SELECT unnest(ms) AS part FROM m WHERE len(ms) >= 2) GROUP BY part""")
@@ -347,12 +359,60 @@ def judge_confusion(s: SparkSession, d: str) -> DataFrame:
     return judge.confusion(judge.judged(w, b, p, threshold=50).withColumn("grp", grp), "grp")
 
 
-@query("WITH" + _BK + """,
-x AS (SELECT word, sf, unnest(range(1, len(sf) + 1)) AS i FROM ms WHERE len(sf) > 0 AND regexp_full_match(word, '[A-Za-z一-龥々ァ-ヶー]+'))
-SELECT word, max(b.bucket) AS bucket, string_agg(sf[i] || ':' || coalesce(frequency, 0), ' ' ORDER BY i) AS parts FROM x LEFT JOIN pr ON pr.part = sf[i] LEFT JOIN b ON b.key = word GROUP BY word""")
+@query("WITH" + _BK + "," + _PARTNERS + """,
+xw AS (SELECT word, sf, unnest(range(1, len(sf) + 1)) AS i FROM ms WHERE len(sf) > 0 AND regexp_full_match(word, '[A-Za-z一-龥々ァ-ヶー]+'))
+SELECT word, coalesce(max(b1.bucket), max(b2.bucket)) AS bucket,
+ string_agg(concat_ws(':', sf[i], coalesce(frequency, 0), coalesce(prefix_foreign, 0), coalesce(prefix_kango, 0), coalesce(suffix_foreign, 0), coalesce(suffix_kango, 0)), ' ' ORDER BY i) AS parts
+FROM xw LEFT JOIN pr ON pr.part = sf[i] LEFT JOIN pc ON pc.part = sf[i] LEFT JOIN b b1 ON b1.key = word LEFT JOIN b b2 ON b2.key = lower(word) GROUP BY word""")
 def query_words(s: SparkSession, d: str) -> DataFrame:
     w, b, p, _ = _judge_inputs(s, d)
-    return judge.lookup(w.where(F.col("word").rlike(f"^[A-Za-z{_CJK}]+$")), b, p)
+    parts = p.join(_partners(s, d), "part", "full")
+    return judge.lookup(w.where(F.col("word").rlike(f"^[A-Za-z{_CJK}]+$")), b, parts)
+
+
+_SHARED = """,
+st AS (SELECT word, sum(docs) AS total FROM dp GROUP BY word HAVING sum(docs) >= 5),
+sd AS (SELECT word, CASE WHEN len(ds) IS NULL OR len(ds) >= 3 THEN [8] ELSE list_sort(ds) END AS ds FROM (SELECT word, list(domain) FILTER (docs >= 0.2::DOUBLE * total) AS ds FROM dp JOIN st USING (word) GROUP BY word)),
+jd AS (SELECT bw.*, ratio, coalesce(s1.ds, s2.ds) AS ds FROM bw LEFT JOIN rt USING (word) LEFT JOIN sd s1 ON s1.word = bw.word LEFT JOIN sd s2 ON s2.word = lower(bw.word)),
+jm AS (SELECT *, coalesce(cand AND bucket >= 2 AND NOT list_contains(ds, 8) AND NOT list_contains(ds, 1), false) AS moved FROM jd)
+"""
+_NAMES = "CASE {0} WHEN 1 THEN '情報技術' WHEN 2 THEN 'その他の理工' WHEN 3 THEN '文化' WHEN 4 THEN '地理' WHEN 5 THEN '社会' WHEN 6 THEN '行政' WHEN 7 THEN '法令' WHEN 8 THEN '一般' END"
+
+
+def _shared_domains(s: SparkSession, d: str) -> DataFrame:
+    return domains.register_by_share(_pairs(s, d))
+
+
+@query("WITH" + _PAIRS.replace("w AS (", "dw AS (").replace("FROM w JOIN", "FROM dw JOIN") + "," + _BK + _SHARED + f"""
+SELECT word, CASE WHEN moved THEN 'RepurposeCandidate' ELSE {_VERDICT} ELSE 'Coined' END END AS verdict, CASE WHEN moved THEN 'Domain' ELSE {_REASON} WHEN ratio > 50 THEN 'Constituent' ELSE 'Unregistered' END END AS reason,
+array_to_string(coalesce(ds, []), ',') AS domains FROM jm""")
+def judge_domains(s: SparkSession, d: str) -> DataFrame:
+    """Judgments for a document on information technology, with the domains that the words are registered in."""
+    w, b, p, _ = _judge_inputs(s, d)
+    j = judge.judged(w, b, p, domains=_shared_domains(s, d), threshold=50, document_domain=judge.document_domain("情報技術"))
+    return j.withColumn("domains", F.array_join(F.col("domains").cast("array<string>"), ","))
+
+
+@query("WITH" + _PAIRS.replace("w AS (", "dw AS (").replace("FROM w JOIN", "FROM dw JOIN") + "," + _BK + _SHARED + f"""
+SELECT word, CASE WHEN moved THEN '転用の候補' || chr(9) || '分野(' || array_to_string(list_transform(ds, lambda c: {_NAMES.format('c')}), '・') || ')'
+ WHEN NOT cand THEN '候補外' || chr(9) || '区間' WHEN bucket = 7 THEN '既存語' || chr(9) || '辞書' WHEN bucket >= 2 THEN '既存語' || chr(9) || '高頻度' WHEN bucket = 1 THEN 'グレー' || chr(9) || '低頻度'
+ WHEN ratio > 50 THEN '造語の候補' || chr(9) || '部品' ELSE '造語の候補' || chr(9) || '未登録' END AS text FROM jm""")
+def judge_rendered(s: SparkSession, d: str) -> DataFrame:
+    w, b, p, _ = _judge_inputs(s, d)
+    return judge.rendered(judge.judged(w, b, p, domains=_shared_domains(s, d), threshold=50, document_domain=1))
+
+
+@query("WITH" + _PAIRS + "SELECT word, domain, word || chr(9) || domain AS key, word AS back, domain::INT AS code FROM dp")
+def domain_keys(s: SparkSession, d: str) -> DataFrame:
+    k = _pairs(s, d).select("word", "domain", domains.domain_key(F.col("domain"), F.col("word")).alias("key"))
+    w, c = domains.split_domain_key(F.col("key"))
+    return k.select("word", "domain", "key", w.alias("back"), c.alias("code"))
+
+
+@query("WITH" + _RUNS + "SELECT key, sum(cnt)::BIGINT AS cnt FROM r WHERE input IN ('wiki', 'docs') GROUP BY key HAVING sum(cnt) >= 3")
+def composition_units(s: SparkSession, d: str) -> DataFrame:
+    r = _runs(s, d)
+    return judge.composition_units(r.where("input = 'wiki'"), r.where("input = 'docs'"))
 
 
 @query("""WITH r AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9ァ-ヶー一-龥々]+(?:[ \t　]+[A-Za-z0-9ァ-ヶー一-龥々]+)*')) AS run FROM documents),
@@ -362,6 +422,35 @@ def noun_counts(s: SparkSession, d: str) -> DataFrame:
     return counts.noun_counts(_texts(s, d))
 
 
+@query("""WITH r AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9ァ-ヶー一-龥々]+(?:[ \t　]+[A-Za-z0-9ァ-ヶー一-龥々]+)*')) AS run FROM documents),
+t AS (SELECT regexp_extract_all(run, '[A-Za-z]+|[0-9]+|[ァ-ヶー]+|[一-龥々]{1,2}') AS ts FROM r), w AS (SELECT len(ts) = 1 AS alone, unnest(ts) AS w FROM t)
+SELECT lower(w) AS word, count(*) AS total, count(*) FILTER (alone) AS alone FROM w WHERE NOT regexp_matches(w, '^[0-9]') GROUP BY 1""")
+def morpheme_noun_counts(s: SparkSession, d: str) -> DataFrame:
+    """Nouns over given morphemes."""
+    return counts.noun_counts(_texts(s, d), provider=_as_provider)
+
+
+_TOKENS = """
+c AS (SELECT doc_id, unnest(cs) AS c, unnest(range(len(cs)))::INT AS chunk_no FROM (SELECT doc_id, regexp_extract_all(text, '[^。\n]*[。\n]|[^。\n]+') AS cs FROM documents)),
+tk AS (SELECT doc_id, chunk_no, c, regexp_extract_all(c, '[A-Za-z]+|[0-9]+|[ァ-ヶー]+|[一-龥々]{1,2}|[ぁ-ん]+|[ \t　]+|(?s:.)') AS ts FROM c),
+tp AS (SELECT doc_id, chunk_no, c, unnest(ts) AS t, unnest(range(1, len(ts) + 1)) AS i FROM tk),
+ps AS (SELECT *, (sum(length(t)) OVER (PARTITION BY doc_id, chunk_no ORDER BY i) - length(t))::INT AS start FROM tp),
+tg AS (SELECT DISTINCT word FROM occurrences WHERE word IS NOT NULL),
+hit AS (SELECT * FROM ps WHERE regexp_matches(t, '^[A-Za-zァ-ヶー一-龥々]') AND lower(t) IN (SELECT word FROM tg))
+"""
+
+
+@query("WITH" + _TOKENS + "SELECT lower(t) AS word, count(*) AS cnt FROM hit GROUP BY 1")
+def target_counts(s: SparkSession, d: str) -> DataFrame:
+    return counts.target_counts(_texts(s, d), table(s, d, "occurrences").where("word is not null").select("word"))
+
+
+@query("""WITH r AS (SELECT unnest(regexp_extract_all(text, '[A-Za-zァ-ヶー]+|[一-龥々]+')) AS run FROM documents), w AS (SELECT lower(unnest(regexp_extract_all(run, '[A-Za-z]+|[ァ-ヶー]+|[一-龥々]{1,2}'))) AS w FROM r)
+SELECT count(*) AS tokens, count(DISTINCT w) AS "distinct" FROM w""")
+def noun_totals(s: SparkSession, d: str) -> DataFrame:
+    return counts.noun_totals(counts.noun_counts(_texts(s, d)))
+
+
 @query(f"""WITH c AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^。\n]*[。\n]|[^。\n]+')) AS c FROM documents),
 tk AS (SELECT row_number() OVER () AS cid, regexp_extract_all(c, '[A-Za-z]+|[0-9]+|[ァ-ヶー]+|[一-龥々]{{1,2}}|[ぁ-ん]+|[ \t　]+|(?s:.)') AS ts FROM c),
 p AS (SELECT cid, unnest(ts) AS t, unnest(range(1, len(ts) + 1)) AS i FROM tk),
@@ -372,7 +461,7 @@ def cooccurrence_window(s: SparkSession, d: str) -> DataFrame:
     return counts.cooccurrence(_texts(s, d), table(s, d, "occurrences").where("word is not null").select("word"))
 
 
-@query()
+@query("WITH" + _TOKENS + "SELECT doc_id, chunk_no, start, lower(t) AS word, substring(c, greatest(start - 30, 0) + 1, start + length(t) + 30 - greatest(start - 30, 0)) AS excerpt FROM hit")
 def occurrence_excerpts(s: SparkSession, d: str) -> DataFrame:
     return counts.occurrences(_texts(s, d), table(s, d, "occurrences").where("word is not null").select("word"))
 
@@ -712,18 +801,117 @@ def flattened_entries(s: SparkSession, d: str) -> DataFrame:
     return e.join(f, "source_name", "left").select("entry_id", flatten_text(F.col("file_format"), F.col("text")).alias("text"))
 
 
-@query()
+@query("""WITH RECURSIVE tot AS (SELECT term, sum(total) AS n FROM term_counts WHERE kind = 'component' AND term IS NOT NULL AND total > 0 GROUP BY term),
+pt AS (SELECT term AS part FROM tot WHERE length(term) >= 2 AND n * 1000000.0 / (SELECT sum(n) FROM tot) >= 5),
+w AS (SELECT DISTINCT term FROM run_lines WHERE term IS NOT NULL),
+st AS (SELECT term, 0 AS pos, []::VARCHAR[] AS parts FROM w
+ UNION ALL SELECT term, pos + l, list_append(parts, substr(term, pos + 1, l)) FROM (SELECT s.term, s.pos, s.parts, max(length(part)) AS l FROM st s JOIN pt ON starts_with(substr(s.term, s.pos + 1), part) GROUP BY ALL))
+SELECT term, array_to_string(parts, '|') AS parts FROM st WHERE pos = length(term) AND len(parts) >= 2""")
 def compound_splits(s: SparkSession, d: str) -> DataFrame:
     """Words cut greedily into components of at least 5 per million."""
     parts = [r[0] for r in substitution.frequent_parts(table(s, d, "term_counts").where("kind = 'component'")).select("term").collect()]
     w = spread(table(s, d, "run_lines").where("term is not null").select("term").distinct(), "term")
-    return w.select("term", substitution.split_parts(F.col("term"), parts).alias("parts")).where("parts is not null")
+    return w.select("term", F.array_join(substitution.split_parts(F.col("term"), parts), "|").alias("parts")).where("parts is not null")
 
 
-@query()
+@query("""SELECT doc_id, (CASE WHEN n_chars IS NULL OR n_chars <= 300 THEN -1.0::DOUBLE WHEN regexp_matches(text, '[0-9]') THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END + 0.1::DOUBLE - 0.25::DOUBLE) / 2.0::DOUBLE AS score FROM documents""")
 def tree_scores(s: SparkSession, d: str) -> DataFrame:
     leaf = lambda v: {"value": v}
     tree = {"feature": "n_chars", "threshold": 300.0, "missing": "nan", "default_left": True, "left": leaf(-1.0), "right": {"feature": "has_digit", "categories": [1.0], "left": leaf(2.0), "right": leaf(0.5)}}
     model = {"features": ["n_chars", "has_digit"], "boosters": [{"weight": 1.0, "mean": 0.25, "std": 2.0, "trees": [tree, leaf(0.1)]}]}
     x = _docs(s, d).select("doc_id", F.col("n_chars").cast("double"), F.col("text").rlike("[0-9]").cast("double").alias("has_digit"))
     return features.scored(x, model, "doc_id")
+
+
+def _frames(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    f = table(s, d, "lineitem").select(F.col("l_returnflag").alias("word"), F.col("l_linestatus").alias("case"), F.col("l_suppkey").alias("predicate"), (F.col("l_linenumber") == 1).alias("standalone"))
+    return f, s.createDataFrame([("A",), ("R",)], "word string")
+
+
+@query("""WITH f AS (SELECT l_returnflag AS word, l_linestatus AS "case", l_suppkey AS predicate, l_linenumber = 1 AS alone FROM lineitem WHERE l_returnflag IN ('A', 'R'))
+SELECT word, "case", predicate, count(*) AS cnt FROM f WHERE alone GROUP BY GROUPING SETS ((word, "case", predicate), (word)) UNION ALL SELECT NULL, NULL, NULL, count(*) FROM f WHERE NOT alone""")
+def frame_tables(s: SparkSession, d: str) -> DataFrame:
+    return counts.frame_tables(*_frames(s, d))
+
+
+@query("""SELECT l_returnflag AS word, CASE WHEN l_suppkey % 4 = 0 THEN 'の' WHEN l_suppkey % 4 = 1 THEN '連体' WHEN l_suppkey % 4 = 2 THEN 'なし' ELSE 'その他' END AS kind, l_linestatus AS modifier, count(*) AS cnt
+FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linenumber = 1 GROUP BY ALL""")
+def modifier_counts(s: SparkSession, d: str) -> DataFrame:
+    k = F.pmod("l_suppkey", F.lit(4))
+    kind = F.when(k == 0, "の").when(k == 1, "連体").when(k == 3, "x")
+    m = table(s, d, "lineitem").select(F.col("l_returnflag").alias("word"), kind.alias("kind"), F.col("l_linestatus").alias("modifier"), (F.col("l_linenumber") == 1).alias("standalone"))
+    return counts.modifier_counts(m, _frames(s, d)[1])
+
+
+@query("WITH" + _DET + f""", k AS (SELECT * FROM (VALUES ('plain', 300, []), ('no first', 300, ['a']), ('neither', 500, ['a', 'b'])) t(condition, threshold, ls)),
+x AS (SELECT condition, truth, n_chars >= threshold AND NOT coalesce(list_contains(ls, CASE WHEN source < 'k' THEN 'a' END) OR list_contains(ls, CASE WHEN lang = 'en' THEN 'b' END), false) AS flagged
+      FROM (SELECT d.source, d.lang, d.n_chars, truth FROM documents d JOIN lb USING (doc_id)), k),
+g AS (SELECT condition, {_MATRIX.replace('flagged', 'coalesce(flagged, false)')} FROM x GROUP BY 1) SELECT condition, {_RATES} FROM g""")
+def exemption_sweep(s: SparkSession, d: str) -> DataFrame:
+    """Conditions of a threshold and lists of exempt words: documents by source as word and language as surface."""
+    docs = _docs(s, d)
+    lab = table(s, d, "content_labels").where("label is not null").groupBy("doc_id").agg(F.bool_or(F.col("label") != "none").alias("truth"))
+    rows = docs.join(lab, "doc_id").select(F.col("source").alias("word"), F.col("lang").alias("surface"), F.col("n_chars").cast("double").alias("score"), "truth")
+    lists = docs.where("source < 'k'").select(F.lit("a").alias("list"), F.col("source").alias("word")).distinct().unionByName(s.createDataFrame([("b", "en")], "list string, word string"))
+    return evals.conditions(rows, [("plain", 300, []), ("no first", 300, ["a"]), ("neither", 500, ["a", "b"])], lists)
+
+
+@query("""WITH o AS (SELECT word, CASE WHEN occ_id % 7 = 0 THEN 'x' END AS error, context FROM occurrences WHERE word IS NOT NULL)
+SELECT word, count(*) AS responses, count(*) FILTER (error IS NULL AND len(list_filter(coalesce(context, []), lambda c: c IS NOT NULL AND c <> '')) = 0) AS empty, count(*) FILTER (error IS NOT NULL) AS errors FROM o GROUP BY word""")
+def response_tallies(s: SparkSession, d: str) -> DataFrame:
+    o = table(s, d, "occurrences").where("word is not null").select("word", F.col("context").alias("candidates"), F.when(F.pmod("occ_id", F.lit(7)) == 0, "x").alias("error"))
+    return substitution.response_tallies(o, ["word"])
+
+
+@query("""WITH c AS (SELECT source, term, sum(total)::BIGINT AS cnt FROM term_counts WHERE kind = 'noun' AND term IS NOT NULL AND total IS NOT NULL AND source IN ('kagami-wiki', 'lumen-journal') GROUP BY 1, 2),
+t AS (SELECT source, sum(cnt) AS n FROM c GROUP BY 1), r AS (SELECT term, max(round(cnt * 1e6::DOUBLE / n, 6)) AS rate FROM c JOIN t USING (source) GROUP BY term)
+SELECT term, coalesce(rate, 0) AS rate FROM (SELECT DISTINCT term FROM term_counts WHERE kind = 'noun' AND term IS NOT NULL) LEFT JOIN r USING (term)""")
+def best_rates(s: SparkSession, d: str) -> DataFrame:
+    return substitution.best_rates(table(s, d, "term_counts").where("kind = 'noun'"), ["kagami-wiki", "lumen-journal"], "source")
+
+
+@query("SELECT (SELECT n_chars::DOUBLE FROM documents WHERE n_chars IS NOT NULL ORDER BY n_chars DESC LIMIT 1 OFFSET 123) AS line")
+def score_line(s: SparkSession, d: str) -> DataFrame:
+    return features.score_line(_docs(s, d).select(F.col("n_chars").alias("score")), 61.5, 2.0)
+
+
+@query("SELECT term AS value, (row_number() OVER (ORDER BY term) - 1)::INT AS code FROM (SELECT DISTINCT term FROM run_lines WHERE term IS NOT NULL)")
+def categorical_levels(s: SparkSession, d: str) -> DataFrame:
+    return features.levels(table(s, d, "run_lines"), "term")
+
+
+@query("SELECT round(avg(n_chars), 6) AS mean, round(stddev_pop(n_chars), 6) AS std FROM documents WHERE n_chars IS NOT NULL")
+def score_moments(s: SparkSession, d: str) -> DataFrame:
+    m = features.moments(_docs(s, d).select(F.col("n_chars").cast("double").alias("score")))
+    return m.select(F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query("WITH" + _DET + f""", g AS (SELECT source AS condition, {_MATRIX} FROM dt WHERE source IS NOT NULL GROUP BY source)
+SELECT condition, tp, fp, EXISTS (SELECT 1 FROM g h WHERE h.tp >= g.tp AND h.fp <= g.fp AND (h.tp, h.fp) <> (g.tp, g.fp)) AS dominated FROM g""")
+def dominated_conditions(s: SparkSession, d: str) -> DataFrame:
+    m = evals.matrix(_detected(s, d).where("source is not null"), ["source"])
+    return evals.dominated(m.select(F.col("source").alias("condition"), "tp", "fp"))
+
+
+@query("""WITH t AS (SELECT doc_id, rater, bool_or(label <> 'none') AS t FROM content_labels WHERE label IS NOT NULL AND rater IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1, 2), u AS (SELECT doc_id, bool_or(t) AS t FROM t GROUP BY 1)
+SELECT f.doc_id, f.rater, coalesce(t.t, u.t) AS truth, coalesce(t.t, u.t) IS NULL AS outside FROM (SELECT doc_id, 'r01' AS rater FROM documents) f LEFT JOIN t ON t.doc_id = f.doc_id AND t.rater = f.rater LEFT JOIN u ON u.doc_id = f.doc_id""")
+def matched_findings(s: SparkSession, d: str) -> DataFrame:
+    truth = table(s, d, "content_labels").where("label is not null and rater is not null and doc_id is not null").select("doc_id", "rater", (F.col("label") != "none").alias("truth"))
+    return evals.matched(_docs(s, d).select("doc_id", F.lit("r01").alias("rater")), truth, ["doc_id", "rater"], ["doc_id"])
+
+
+@query("""WITH c AS (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 3 = 0), f AS (SELECT DISTINCT doc_id FROM documents WHERE text LIKE '%！%'), l AS (SELECT doc_id, max(label) AS label FROM content_labels GROUP BY 1)
+SELECT c.doc_id, label, f.doc_id IS NOT NULL AS found, false AS only_detector FROM c LEFT JOIN l ON l.doc_id = c.doc_id LEFT JOIN f ON f.doc_id = c.doc_id
+UNION ALL SELECT doc_id, NULL, true, true FROM f WHERE doc_id NOT IN (SELECT doc_id FROM c)""")
+def review_queue(s: SparkSession, d: str) -> DataFrame:
+    docs = _docs(s, d)
+    return evals.review_queue(docs.where("doc_id % 3 = 0"), table(s, d, "content_labels"), docs.where(F.col("text").contains("！")), ["doc_id"])
+
+
+@query("""WITH f AS (SELECT l_returnflag AS word, l_linestatus AS "case", l_suppkey AS predicate, count(*) AS cnt FROM lineitem GROUP BY ALL), n AS (SELECT word, sum(cnt) AS n FROM f GROUP BY word),
+o AS (SELECT 'A' AS word, l."case", l.predicate, ln((l.cnt + 0.5) / (n.n + 1)::DOUBLE) AS l FROM f l JOIN n USING (word) WHERE word IN ('N', 'R') AND cnt >= 3)
+SELECT o.word, o."case", o.predicate, round(max(l - ln((coalesce(f.cnt, 0) + 0.5) / ((SELECT n FROM n WHERE word = 'A') + 1)::DOUBLE)), 6) AS ratio
+FROM o LEFT JOIN f ON f.word = o.word AND f."case" = o."case" AND f.predicate = o.predicate GROUP BY ALL""")
+def loan_ratios(s: SparkSession, d: str) -> DataFrame:
+    f = _frames(s, d)[0].groupBy("word", "case", "predicate").agg(F.count(F.lit(1)).alias("cnt"))
+    return features.loan_ratio(f, s.createDataFrame([("A", "N"), ("A", "R")], "word string, loanword string"))
