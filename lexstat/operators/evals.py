@@ -149,3 +149,10 @@ def review_queue(candidates: DataFrame, labels: DataFrame, findings: DataFrame,
     mine = c.join(lab, keys, "left").join(f, keys, "left").select(*keys, "label", F.coalesce("found", F.lit(False)).alias("found"), F.lit(False).alias("only_detector"))
     rest = f.join(c, keys, "left_anti").select(*keys, F.lit(None).cast("string").alias("label"), "found", F.lit(True).alias("only_detector"))
     return mine.unionByName(rest)
+
+
+def topic_words(coined: DataFrame, established: DataFrame, n: int = 50) -> DataFrame:
+    """word, grp: coined and repurposed words of an evaluation file (row_no, word, category; reworded ones are left out), and
+    the first n of the established ones, of which there must be so many."""
+    kept = coined.where(F.col("category").isin("意味の転用", "造語")).select("word", F.col("category").alias("grp"))
+    return kept.unionByName(first_rows(established, "row_no", n).select("word", F.lit("既存語").alias("grp")))

@@ -183,13 +183,26 @@ def levels(rows: DataFrame, col: str) -> DataFrame:
     return d.withColumn("r", place).join(F.broadcast(before), "part").select("value", (F.col("r") + F.col("o")).cast("int").alias("code"))
 
 
-def usable(occurrences: DataFrame, grammar: list[str], excluded_paths: list[str] = ()) -> DataFrame:
+#: Parts of paths whose occurrences are examples, tests and dictionaries.
+EXCLUDED_PATHS = ("/demo/rules", "/tests/", "/dict/")
+
+
+def is_mention(excerpt: Column, word: Column) -> Column:
+    """Whether the word's first place in the excerpt is inside 「」: more are open than closed before it, and the next one closes."""
+    at = F.instr(excerpt, word)
+    before, after = F.substring(excerpt, F.lit(1), at - 1), F.substring(excerpt, at + F.length(word), F.length(excerpt))
+    n = lambda t, c: F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))
+    opens, closes = F.instr(after, "「"), F.instr(after, "」")
+    return F.coalesce((at > 0) & (n(before, "「") > n(before, "」")) & (closes > 0) & ((opens == 0) | (closes < opens)), F.lit(False))
+
+
+def usable(occurrences: DataFrame, grammar: list[str], excluded_paths: list[str] | tuple[str, ...] = EXCLUDED_PATHS) -> DataFrame:
     """Occurrences (word, path, excerpt) of one kanji that is no grammar character, outside the excluded paths, and not
     only mentioned in 「」."""
-    d = occurrences.where(F.col("word").rlike("^[一-鿿]$") & ~F.col("word").isin(list(grammar)))
+    d = occurrences.where(F.col("word").rlike("^[一-龥々]$") & ~F.col("word").isin(list(grammar)))
     for p in excluded_paths:
         d = d.where(~F.coalesce(F.col("path"), F.lit("")).contains(p))
-    return d.where(~F.coalesce(F.col("excerpt").contains(F.concat(F.lit("「"), F.col("word"), F.lit("」"))), F.lit(False)))
+    return d.where(~is_mention(F.col("excerpt"), F.col("word")))
 
 
 def is_poor_negative(sentence: Column, word: Column, chars: list[str] = ()) -> Column:

@@ -46,6 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+#: Folders of staged tables that are still there.
+_STAGED: list[str] = []
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, on whatever file system it names."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -55,16 +59,29 @@ def exists(spark: SparkSession, path: str) -> bool:
 def staged(df: DataFrame) -> DataFrame:
     """df written as a Parquet table in the shared folder and read back: columnar and prunable.
 
-    Executors can be lost without losing it. It is deleted when the driver's JVM ends.
+    Executors can be lost without losing it. It is deleted by drop_staged, else when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Deletes all tables that were staged so far, once what was made of them is written; how many there were.
+
+    For long sessions: DataFrames that still read them can't be computed any more.
+    """
+    conf, n = spark._jsparkSession.sessionState().newHadoopConf(), len(_STAGED)
+    while _STAGED:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        at.getFileSystem(conf).delete(at, True)
+    return n
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """df with at least as many partitions as the cluster has cores, for work that is heavy per row.
 

@@ -148,3 +148,21 @@ def test_places_and_levels_over_many_rows(spark):
     assert features.score_line(x, 20_000, 1).first()["line"] is None
     got = {r["value"]: r["code"] for r in features.levels(spark.createDataFrame([(v,) for v in ["b", "a", None, "c", "b"]], "v string"), "v").collect()}
     assert got == {"a": 0, "b": 1, "c": 2}
+
+
+def test_mentions_and_topic_words(spark):
+    rows = [("門", "a/b", "この門を通る", True), ("門", "a", "語「門」は", False), ("門", "a", "「この門は古い」と", False), ("門", "a", "「古い」門と「新しい」門", True), ("門", "a", "「古い門", True),
+            ("門", "x/tests/y", "門", False), ("の", "a", "の", False), ("ア", "a", "ア", False), ("門", None, None, True)]
+    d = spark.createDataFrame(rows, "word string, path string, excerpt string, want boolean")
+    assert sorted(map(str, features.usable(d, ["の"]).collect())) == sorted(map(str, d.where("want").collect()))
+    c = spark.createDataFrame([(2, "a", "造語"), (3, "b", "言い換え"), (4, "c", "意味の転用")], "row_no int, word string, category string")
+    e = spark.createDataFrame([(5, "z", None), (3, "x", None), (4, "y", None)], "row_no int, word string, category string")
+    assert sorted(map(tuple, evals.topic_words(c, e, 2).collect())) == [("a", "造語"), ("c", "意味の転用"), ("x", "既存語"), ("y", "既存語")]
+
+
+def test_staged_tables_are_dropped(spark):
+    from lexstat import session
+    d = session.staged(spark.range(3).toDF("i"))
+    path = session._STAGED[-1]
+    assert d.count() == 3 and session.exists(spark, path)
+    assert session.drop_staged(spark) >= 1 and not session.exists(spark, path) and not session._STAGED
