@@ -253,7 +253,7 @@ def _windows(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(at < (begin + size)[doc][:, None], flat[np.minimum(at, len(flat) - 1)], 0), doc
 
 
-def train(texts: list[str], target: np.ndarray, batch: int = 32, rate: float = 0.01, rounds: int = 2, steps: int = 150, seed: int = 7) -> Model:
+def train(texts: list[str], target: np.ndarray, batch: int = 32, rate: float = 0.01, rounds: int = 2, steps: int = 80, seed: int = 7) -> Model:
     """A network fitted to documents with target[document, category] in 0..1; word vectors start from log odds.
 
     It starts from the documents with a category and as many random ones without, then goes over all documents in rounds,
