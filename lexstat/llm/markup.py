@@ -106,12 +106,19 @@ _FORMS = [
     ("emphu", "inline", "span", r"(?<![\w\\])_(?P<t>[^_\s](?:[^_\n]*[^_\s])?)_(?!\w)", 0),
     ("break", "inline", "span", r"\\\\[ \t]*(?=\n)|(?<=\S)[ ]{2,}(?=\n)|(?<=\S)\\(?=\n)", 0),
 ]
-FORMS = [(f, e, lv, re.compile(p, fl)) for f, e, lv, p, fl in _FORMS]
-_ELEMENT = {f: e for f, e, _, _ in FORMS}
+#: Characters of which a text must hold one to hold a form: those that its pattern can't do without.
+_NEEDS = {c: forms.split() for c, forms in {
+    "<": "comment pre codetag mathtag mathspan mathhtml headtag listtag autolink ref tag jsx", "`": "dbltick rstlink tick", "`~": "fence",
+    "\\": "verbatim verb texttt mathenv mathparen mathbracket headtex listtex texcmd texhref texenv", ".": "mathrst coderst directive", ":": "literal mathrole role",
+    "{": "mathtpl template texgroup", "$": "mathblock dollar", "=": "headwiki", "\n": "headover headunder break", "#": "hashes autonum", "-*+•": "bullet", "*;:": "stars", "-*_": "rule",
+    ">": "quote", "|{": "tablerow", "!": "image", "[": "wikilink footref mdlink extlink rstref", "'": "tripleq doubleq", "&": "entity", "~": "strike", "*": "strong emph", "_": "strongu emphu",
+    "0": "number"}.items()}  # 0 stands for any digit
+_NEED = {f: frozenset(c) for c, forms in _NEEDS.items() for f in forms}
+FORMS = [(f, e, lv, re.compile(p, fl), _NEED[f]) for f, e, lv, p, fl in _FORMS]
 #: Spans whose content can hold further spans.
 HOLDS = frozenset("wikilink mdlink extlink texcmd texhref texgroup tripleq doubleq strike strong strongu emph emphu".split())
 #: Kinds that a candidate's form can stand for.
-STATES = {f: ("no", "heading", "list") if f == "hashes" else ("no", e) for f, e, _, _ in FORMS}
+STATES = {f: ("no", "heading", "list") if f == "hashes" else ("no", e) for f, e, *_ in FORMS}
 
 
 @dataclass
@@ -184,7 +191,12 @@ def parse(text: str) -> list[Node]:
     at = _Places(len(text))
     nodes: list[Node] = []
     open_at: list[tuple[int, int]] = []
-    for form, element, level, pattern in FORMS:
+    chars = set(text)
+    if any(map(str.isdigit, chars)):
+        chars.add("0")
+    for form, element, level, pattern, need in FORMS:
+        if need.isdisjoint(chars):
+            continue
         wide = level == "block" and element in ("heading", "list") or form == "quote"
         for m in pattern.finditer(text):
             a, b = m.span()
