@@ -103,7 +103,8 @@ class Model:
         """Rows of the word table and of the character table; digits all look alike."""
         if token.isdigit():
             token = "0" * min(len(token), 4)
-        return self.words.get(token, 0), [self.pairs.get(g, 0) for g in grams(token)]
+        get = self.pairs.get
+        return self.words.get(token, 0), [get(g, 0) for g in grams(token)]
 
     def embed(self, feats: list[tuple[int, list[int]]]) -> np.ndarray:
         """Input vectors of tokens."""
@@ -295,9 +296,9 @@ def train(texts: list[str], target: np.ndarray, batch: int = 32, rate: float = 0
     def disguised(ids: np.ndarray) -> np.ndarray:
         return np.where(letters[ids], ids + len(words) if r.random() < 0.5 else len(feats), ids)
 
-    def run(docs: np.ndarray, kept: np.ndarray, epochs: int, rate: float) -> None:
+    def run(docs: np.ndarray, kept: np.ndarray, epochs: int, rate: float, fade: bool = False) -> None:
         epochs = max(epochs, -(-steps * batch // max(len(docs), 1)))
-        for _ in range(epochs):
+        for epoch in range(epochs):
             order = r.permutation(docs)
             for i in range(0, len(order), batch):
                 chosen = order[i : i + batch]
@@ -313,7 +314,7 @@ def train(texts: list[str], target: np.ndarray, batch: int = 32, rate: float = 0
                 for k in ("word", "pair"):
                     at, x = g[k]
                     g[k] = at[at > 0], x[at > 0]
-                adam(g, rate * min(1, adam.step / 10 + 0.1))
+                adam(g, rate * min(1, adam.step / 10 + 0.1) * (1 - (epoch + i / len(order)) / epochs if fade else 1))
 
     some, none = np.flatnonzero((target.max(1) > 0) & has), np.flatnonzero((target.max(1) == 0) & has)
     run(np.concatenate([some, r.permutation(none)[: max(len(some), 100)]]), np.ones(len(owner), bool), 2, rate)
@@ -323,8 +324,7 @@ def train(texts: list[str], target: np.ndarray, batch: int = 32, rate: float = 0
         use = has
         if k == rounds - 1:
             use = has & ~(np.abs(_sigmoid(np.clip(top, -30, 30)) - target) > 0.95).any(1)
-        run(np.flatnonzero(use), kept, 1, rate * 0.6 ** (k + 1))
-    run(np.flatnonzero(use), kept, 1, rate * 0.1)
+        run(np.flatnonzero(use), kept, 1, rate * 0.6 ** (k + 1), fade=k == rounds - 1)
     return model
 
 
@@ -337,29 +337,38 @@ def _pooled(model: Model, feats: list, ids: np.ndarray, doc: np.ndarray, n: int)
     return top, logit
 
 
+class _Known(dict):
+    """Ids from 1 of the words met so far; fresh: those met since the list was last emptied."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = i = len(self) + 1
+        self.fresh.append(word)
+        return i
+
+
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = _Known()
         table = {k: np.empty((1 << 15, 3 * HIDDEN), np.float32) for k in "fb"}
         for k, x in model.project(np.zeros((0, DIM), np.float32)).items():
             table[k][:1] = x
         for whole in batches:
             for b in pieces(whole, 1):
-                if len(known) > 150_000:  # words met so far, kept only to save work
+                if len(known) > 150_000:  # kept only to save work
                     known.clear()
-                rows, fresh, had = [], [], len(known) + 1
+                rows, had = [], len(known) + 1
                 for t in b.column(1).to_pylist():
                     x = tokens(t) if t else []
-                    for w in x:
-                        if w not in known:
-                            known[w] = len(known) + 1
-                            fresh.append(model.features(w))
-                    rows.append(np.array([known[w] for w in x], dtype=np.int64))
-                if fresh:
-                    for k, x in model.project(model.embed(fresh)).items():
+                    rows.append(np.fromiter(map(known.__getitem__, x), np.int64, len(x)))
+                if known.fresh:
+                    for k, x in model.project(model.embed([model.features(w) for w in known.fresh])).items():
                         if len(known) >= len(table[k]):
                             table[k] = np.concatenate([table[k], np.empty((len(known), 3 * HIDDEN), np.float32)])
                         table[k][had : len(known) + 1] = x[1:]
+                    known.fresh.clear()
                 ids, doc = _windows(rows)
                 score = np.full((len(b), 3), -1e9, np.float32)
                 for i in range(0, len(ids), 2048):
@@ -426,7 +435,7 @@ def fit(documents: DataFrame, labels: DataFrame, hold: int = HOLD, **sample: int
     has = (target[out] > 0.5) & (score >= 0.1)
     hits = np.stack([(score[has[:, c], c][:, None] >= step).sum(0) for c in range(3)])
     every_one = (hits.sum(0) + 5 * (1 - step**4)) / (has.sum() + 5)
-    caught = (hits + 100 * every_one) / (has.sum(0)[:, None] + 100)
+    caught = (hits + 20 * every_one) / (has.sum(0)[:, None] + 20)
     return Fitted(model, caught)
 
 
