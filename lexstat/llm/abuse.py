@@ -50,6 +50,13 @@ _SPACED = re.compile(r"(?<![^\W_])[^\W\d_]([.\-_*・·~ ])(?:[^\W\d_]\1){2,}[^\W
 _INSIDE = re.compile(r"(?<=[ぁ-ヺー㐀-鿿])[.・·*_\-~|](?=[ぁ-ゖ])")
 _MARKS = re.compile(r"[.\-_*・·~ ]")
 _RUN = re.compile(r"(.)\1{2,}")
+#: Runs of characters that NFKC may change or join to the one before them, with that one.
+_UNPLAIN = re.compile(r"[\s\S]?[^\x00-\x7fÀ-ÿぁ-んァ-ヺー・一-鿿、。「」『』]+")
+
+
+def _normal(text: str) -> str:
+    """NFKC of a text, most of whose characters usually need none."""
+    return _UNPLAIN.sub(lambda m: unicodedata.normalize("NFKC", m[0]), text)
 
 
 def tokens(text: str) -> list[str]:
@@ -57,7 +64,7 @@ def tokens(text: str) -> list[str]:
 
     Longer ones than PIECE letters (unspaced writing) come in pieces that overlap by a letter, so that no character pair is lost.
     """
-    t = unicodedata.normalize("NFKC", text).lower()
+    t = _normal(text).lower()
     t = _SPACED.sub(lambda m: _MARKS.sub("", m[0]), t)
     t = _INSIDE.sub("", t)
     out = _TOKEN.findall(_RUN.sub(r"\1", t))

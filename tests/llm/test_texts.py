@@ -429,6 +429,16 @@ def test_tokens_close_up_disguises():
     assert abuse.tokens("") == []
 
 
+def test_normalization_of_parts_is_that_of_the_whole():
+    import unicodedata
+    r = random.Random(4)
+    some = "aé゛ﾞが" + "かﾊﾟＡ１（…①㌔ﬁÅe\u0301\u3099ｶ한ᄒ\u1161\u11abำกत्\u093cا\u0651 \u3000\n々ー"
+    every = [chr(c) for c in range(0x20, 0x30000, 7) if not 0xD800 <= c < 0xE000]
+    for _ in range(3000):
+        t = "".join(r.choice(some) if r.random() < 0.8 else r.choice(every) for _ in range(r.randint(0, 12)))
+        assert abuse._normal(t) == unicodedata.normalize("NFKC", t), ascii(t)
+
+
 @pytest.mark.parametrize("first,n", [(0x4E00, 13), (0x4E00, 100), (0x3042, 40), (0x30A2, 23), (ord("a"), 24), (0x0E81, 40)])
 def test_no_character_pair_of_a_long_run_is_lost(first, n):
     run = "".join(c for c in map(chr, range(first, first + n)) if c.isalpha())
