@@ -26,7 +26,8 @@ def novelty(occurrences: DataFrame, keys: DataFrame, classes: DataFrame) -> Data
     occurrences: occ_id, word; keys: occ_id, grp, key; classes: word, cls. Each key's novelty is the negative log of its
     smoothed share among the word's keys without the occurrence itself; zero_share is that of keys the word has nowhere else.
     """
-    o = occurrences.join(classes, "word", "left").join(keys.groupBy("occ_id", "grp", "key").agg(F.count(F.lit(1)).alias("own")), "occ_id")
+    own = keys.groupBy("occ_id", "grp", "key").agg(F.count(F.lit(1)).alias("own"))
+    o = staged(occurrences.join(classes, "word", "left").join(own, "occ_id"))  # read five times below
     wf = o.groupBy("word", "grp", "key").agg(F.sum("own").alias("wf"))
     cf = o.groupBy("cls", "grp", "key").agg(F.sum("own").alias("cf"))
     wn = o.groupBy("word", "grp").agg(F.sum("own").alias("wn"))

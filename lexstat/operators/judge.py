@@ -42,8 +42,12 @@ def judged(
         raise ValueError("a document's domain cannot be the general one")
     w = words.where("word is not null").select("word").distinct().withColumn("ms", provider(F.col("word")))
     w = w.withColumn("candidate", is_whole_span(F.col("ms")) & (F.size("ms") > 0)).withColumn("surfaces", F.transform("ms", lambda m: m["surface"]))
-    w = w.withColumn("norm", F.array_join(F.transform("ms", lambda m: m["norm"]), "")).drop("ms")
-    b = buckets.groupBy("key").agg(F.max("bucket").alias("bucket"))
+    w = staged(w.withColumn("norm", F.array_join(F.transform("ms", lambda m: m["norm"]), "")).drop("ms"))
+    # the words are few beside the tables they are looked up in, which are first cut down to what is asked
+    i = F.sequence(F.lit(1), F.greatest(F.size("surfaces") - 1, F.lit(1)))
+    pairs_of = F.when(F.size("surfaces") >= 3, F.transform(i, lambda k: F.concat(F.element_at("surfaces", k), F.element_at("surfaces", k + 1)))).otherwise(F.array().cast("array<string>"))
+    b = _asked(buckets, "key", w, F.concat(F.array("word", "norm"), pairs_of)).groupBy("key").agg(F.max("bucket").alias("bucket"))
+    parts = _asked(parts, "part", w, F.col("surfaces"))
     w = w.join(b.select(F.col("key").alias("word"), F.col("bucket").alias("b1")), "word", "left")
     w = w.join(b.select(F.col("key").alias("norm"), F.col("bucket").alias("b2")), "norm", "left").withColumn("bucket", F.coalesce("b1", "b2"))
     w = staged(w)  # the lookups below all start from it
@@ -59,8 +63,7 @@ def judged(
                ("Established", "HighFrequency", F.col("bucket") >= 2), ("Gray", "LowFrequency", F.col("bucket") == 1)]
     long = F.col("bucket").isNull() & (F.size("surfaces") >= 3)
     if rule in ("established", "gray"):
-        i = F.sequence(F.lit(1), F.size("surfaces") - 1)
-        pairs = cand.where(long).select("word", F.explode(F.transform(i, lambda k: F.concat(F.element_at("surfaces", k), F.element_at("surfaces", k + 1)))).alias("key"))
+        pairs = cand.where(long).select("word", F.explode(pairs_of).alias("key"))
         ok = pairs.join(b, "key", "left").groupBy("word").agg(F.bool_and(F.coalesce(F.col("bucket") >= 2, F.lit(False))).alias("pairs_known"))
         w = w.join(ok, "word", "left")
         verdict.append(("Established" if rule == "established" else "Gray", "Concatenation", F.coalesce("pairs_known", F.lit(False))))
@@ -84,6 +87,11 @@ def judged(
     return w.select("word", "v.verdict", "v.reason")
 
 
+def _asked(table: DataFrame, key: str, words: DataFrame, keys: Column) -> DataFrame:
+    """The rows of a table whose key is among the words' keys (array)."""
+    return table.join(words.select(F.explode(keys).alias(key)).distinct(), key, "left_semi")
+
+
 def rendered(judgments: DataFrame) -> DataFrame:
     """word, text: verdict and reason by their names, parted by a tab; a reason by domain names the word's domains."""
     name = lambda names, c: F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col(c))
@@ -121,7 +129,8 @@ def composition_scores(words: DataFrame, units: DataFrame, parts: DataFrame) ->
         F.struct(side(F.lit(1), F.col("k")).alias("key"), (F.col("k") == 1).alias("single")),
         F.struct(side(F.col("k") + 1, F.size("surfaces") - F.col("k")).alias("key"), (F.size("surfaces") - F.col("k") == 1).alias("single")))).alias("h")).select("word", "k", "h.key", "h.single")
     table = parts.select(F.col("part").alias("key"), F.lit(True).alias("single"), F.col("frequency").alias("n")).unionByName(
-        units.select("key", F.lit(False).alias("single"), F.col("cnt").alias("n"))).groupBy("key", "single").agg(F.max("n").alias("n"))
+        units.select("key", F.lit(False).alias("single"), F.col("cnt").alias("n")))
+    table = table.join(halves.select("key", "single").distinct(), ["key", "single"], "left_semi").groupBy("key", "single").agg(F.max("n").alias("n"))
     low = halves.join(table, ["key", "single"], "left").groupBy("word", "k").agg(F.min(F.coalesce("n", F.lit(0))).alias("n"))
     return low.groupBy("word").agg(F.max("n").alias("best"))
 

@@ -6,6 +6,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 
 def ranked_candidates(responses: DataFrame, keys: list[str]) -> DataFrame:
     """keys, candidate, votes, mean_rank: in how many responses a candidate occurs and its mean first place (from 1).
@@ -76,15 +78,26 @@ def profiles(pairs: DataFrame) -> DataFrame:
     return pairs.where("word is not null and context is not null").groupBy("word", "context").agg(F.count(F.lit(1)).alias("n"))
 
 
-def cosines(a: DataFrame, b: DataFrame) -> DataFrame:
+#: Profile rows of a context from which it is split, and into how many.
+HOT_ROWS, HOT_PARTS = 50_000, 64
+
+
+def cosines(a: DataFrame, b: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """word_a, word_b, cosine of all pairs of profile words that share a context (the rest have 0).
 
-    The inner product joins on the context; contexts that a large share of words have make that join large, so a and b
-    should be the profiles of stated word sets.
+    The inner product joins on the context, so its work is the sum over contexts of the words of a times those of b that
+    have it: a should be the profiles of a stated set of words. A context of hot_rows words of b or more is dealt out by
+    word to HOT_PARTS parts, each of which meets all of a's words; there are at most (rows of b / hot_rows) such contexts.
     """
     x = a.select(F.col("word").alias("word_a"), "context", F.col("n").alias("na"))
     y = b.select(F.col("word").alias("word_b"), "context", F.col("n").alias("nb"))
-    dot = x.join(y, "context").where("word_a <> word_b").groupBy("word_a", "word_b").agg(F.sum(F.col("na") * F.col("nb")).alias("dot"))
+    hot = staged(y.groupBy("context").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= hot_rows).select("context", F.lit(True).alias("_hot")))
+    if not hot.isEmpty():
+        is_hot = F.coalesce("_hot", F.lit(False))
+        y = y.join(F.broadcast(hot), "context", "left").withColumn("_part", F.when(is_hot, F.pmod(F.xxhash64("word_b"), F.lit(HOT_PARTS)).cast("int")).otherwise(0)).drop("_hot")
+        x = x.join(F.broadcast(hot), "context", "left").withColumn("_part", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0))))).drop("_hot")
+    keys = [c for c in ("context", "_part") if c in y.columns]
+    dot = x.join(y, keys).where("word_a <> word_b").groupBy("word_a", "word_b").agg(F.sum(F.col("na") * F.col("nb")).alias("dot"))
     norm = lambda p, name, as_: p.groupBy(F.col("word").alias(name)).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias(as_))
     return dot.join(norm(a, "word_a", "la"), "word_a").join(norm(b, "word_b", "lb"), "word_b").select(
         "word_a", "word_b", F.round(F.col("dot") / (F.col("la") * F.col("lb")), 9).alias("cosine"))

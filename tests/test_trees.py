@@ -166,3 +166,11 @@ def test_staged_tables_are_dropped(spark):
     path = session._STAGED[-1]
     assert d.count() == 3 and session.exists(spark, path)
     assert session.drop_staged(spark) >= 1 and not session.exists(spark, path) and not session._STAGED
+
+
+def test_hot_contexts_give_the_same_cosines(spark):
+    rows = [(f"w{i}", c, 1 + i % 3) for i in range(40) for c in ("every", f"c{i % 5}")]
+    p = spark.createDataFrame(rows, "word string, context string, n bigint")
+    a = p.where("word in ('w1', 'w7', 'w30')")
+    plain = sorted(map(tuple, substitution.cosines(a, p).collect()))
+    assert len(plain) == 3 * 39 and sorted(map(tuple, substitution.cosines(a, p, hot_rows=10).collect())) == plain
