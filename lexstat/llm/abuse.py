@@ -98,7 +98,7 @@ class Model:
         self.p = {
             "word": (r.standard_normal((len(self.words) + 1, d)) * 0.05).astype(np.float32),
             "pair": (r.standard_normal((len(self.pairs) + 1, d)) * 0.05).astype(np.float32),
-            "ba": np.zeros(ATTEND, np.float32), "va": init(ATTEND), "wa": init(2 * h, ATTEND),
+            "ba": np.zeros(ATTEND, np.float32), "va": init(ATTEND, 3), "wa": init(2 * h, ATTEND),
             "wo": init(2 * h, 3), "bo": np.full(3, -2, np.float32),
         }
         for k in ("word", "pair"):
@@ -155,13 +155,13 @@ class Model:
         return (out, kept) if keep else out
 
     def attend(self, hs: np.ndarray, real: np.ndarray):
-        """Attention weights (WINDOW, windows), pooled states and logits; real: which places hold tokens."""
+        """Attention weights (WINDOW, windows, 3), each category its own, pooled states and logits; real: which places hold tokens."""
         a = np.tanh(hs @ self.p["wa"] + self.p["ba"])
-        e = np.where(real.T, a @ self.p["va"], np.float32(-1e9))
+        e = np.where(real.T[:, :, None], a @ self.p["va"], np.float32(-1e9))
         e = np.exp(e - e.max(0))
         w = e / e.sum(0)
-        pooled = np.einsum("tn,tnh->nh", w, hs)
-        return a, w, pooled, pooled @ self.p["wo"] + self.p["bo"]
+        pooled = np.matmul(w.transpose(1, 2, 0), hs.transpose(1, 0, 2))
+        return a, w, pooled, np.einsum("nch,hc->nc", pooled, self.p["wo"]) + self.p["bo"]
 
     def gradients(self, feats: list[tuple[int, list[int]]], ids: np.ndarray, doc: np.ndarray, target: np.ndarray, mask: np.ndarray | None = None) -> dict:
         """Gradients of the log loss of documents, each the smooth maximum of its windows; mask: factors of the inputs."""
@@ -181,13 +181,13 @@ class Model:
         np.add.at(tot, doc, e)
         dz = (_sigmoid(top + np.log(tot)) - target) / n_docs
         dl = dz[doc] * e / tot[doc]
-        g = {"wo": pooled.T @ dl, "bo": dl.sum(0)}
-        dp = dl @ p["wo"].T
-        dh = w[:, :, None] * dp
-        dw = np.einsum("nh,tnh->tn", dp, hs)
+        g = {"wo": np.einsum("nch,nc->hc", pooled, dl), "bo": dl.sum(0)}
+        dp = dl[:, :, None] * p["wo"].T
+        dh = np.matmul(w.transpose(1, 0, 2), dp).transpose(1, 0, 2)
+        dw = np.matmul(hs.transpose(1, 0, 2), dp.transpose(0, 2, 1)).transpose(1, 0, 2)
         de = w * (dw - (w * dw).sum(0))
-        g["va"] = np.einsum("tn,tna->a", de, a)
-        da = de[:, :, None] * p["va"] * (1 - a * a)
+        g["va"] = np.tensordot(a, de, ((0, 1), (0, 1)))
+        da = de @ p["va"].T * (1 - a * a)
         g["ba"] = da.sum((0, 1))
         g["wa"] = np.einsum("tnh,tna->ha", hs, da)
         dh += da @ p["wa"].T
@@ -402,10 +402,11 @@ def training_sample(
     """doc_id, texts and targets of labelled documents: at most so many with some category, without, and characters in all.
 
     They are chosen by a hash of doc_id, as long as the characters of those before and their own are within the bound.
-    A target is the share of the document's raters that gave the category; ratings without label or document do not count.
+    A target is the share of raters that gave the category among them and those who found none: other categories don't
+    speak against it. Ratings without label or document do not count.
     """
     per = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(
-        F.greatest(F.count_distinct(F.coalesce("rater", F.lit(""))), F.lit(1)).alias("n"),
+        F.count_distinct(F.when(F.col("label") == "none", F.coalesce("rater", F.lit("")))).alias("n"),
         *[F.count_distinct(F.when(F.col("label") == c, F.coalesce("rater", F.lit("")))).alias(c) for c in CATEGORIES])
     any_of = sum((F.col(c) for c in CATEGORIES[1:]), F.col(CATEGORIES[0])) > 0
     draw = F.xxhash64("doc_id")
@@ -419,7 +420,7 @@ def training_sample(
     chosen = documents.sparkSession.createDataFrame([(i,) for i in ids], "doc_id bigint")
     texts = documents.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))
     got = texts.join(pick, "doc_id").orderBy("doc_id").collect()
-    return [x["doc_id"] for x in got], [x["text"] for x in got], np.array([[x[c] / x["n"] for c in CATEGORIES] for x in got], np.float32).reshape(-1, 3)
+    return [x["doc_id"] for x in got], [x["text"] for x in got], np.array([[x[c] / max(x[c] + x["n"], 1) for c in CATEGORIES] for x in got], np.float32).reshape(-1, 3)
 
 
 def fit(documents: DataFrame, labels: DataFrame, hold: int = HOLD, **sample: int) -> Fitted:

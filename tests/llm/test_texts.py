@@ -405,7 +405,7 @@ def test_gradients_match_differences():
         return float((np.log1p(np.exp(z)) - target * z).sum() / 2)
 
     g = model.gradients(feats, ids, doc, target)
-    for name, at in (("uf", (3, 20)), ("wb", (2, 5)), ("wo", (4, 1)), ("wa", (7, 2)), ("va", (1,)), ("bf", (30,))):
+    for name, at in (("uf", (3, 20)), ("wb", (2, 5)), ("wo", (4, 1)), ("wa", (7, 2)), ("va", (1, 0)), ("va", (2, 1)), ("bf", (30,))):
         old, eps = model.p[name][at], 1e-3
         model.p[name][at] = old + eps
         up = loss()
