@@ -122,6 +122,37 @@ class Model:
         pairs = np.add.reduceat(self.p["pair"][flat], np.cumsum(n) - n, axis=0) / n[:, None]
         return self.p["word"][[w for w, _ in feats]] + pairs
 
+    def embed_words(self, words: list[str]) -> np.ndarray:
+        """embed() of the features of words, none empty, with the character sequences of all looked up at once."""
+        words = ["0" * min(len(w), 4) if w.isdigit() else w for w in words]
+        size = np.array([len(w) + 2 for w in words])
+        codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le"), np.uint32).astype(np.int64)
+        end = np.cumsum(size)
+        out = np.zeros((len(words), DIM), np.float32)
+        for n, (known, rows) in self._sequences().items():
+            key = codes[: len(codes) - n + 1].copy()
+            for j in range(1, n):
+                key = (key << 21) | codes[j : len(codes) - n + 1 + j]
+            inside = np.ones(len(codes), bool)
+            for j in range(n - 1):
+                inside[end - 1 - j] = False
+            key = key[inside[: len(key)]]
+            at = np.searchsorted(known, key)
+            row = np.where(known[np.minimum(at, len(known) - 1)] == key, rows[np.minimum(at, len(known) - 1)], 0)
+            count = size - n + 1
+            out += np.add.reduceat(self.p["pair"][row], np.cumsum(count) - count, axis=0)
+        return self.p["word"][[self.words.get(w, 0) for w in words]] + out / (2 * size - 3)[:, None].astype(np.float32)
+
+    def _sequences(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Sorted codes of the known character pairs and triples, and their rows."""
+        if not hasattr(self, "_known"):
+            self._known = {}
+            for n in (2, 3):
+                pairs = [(sum(ord(c) << 21 * (n - 1 - j) for j, c in enumerate(g)), i) for g, i in self.pairs.items() if len(g) == n]
+                code, row = np.array(sorted(pairs) or [(-1, 0)], np.int64).T
+                self._known[n] = code, row
+        return self._known
+
     def project(self, emb: np.ndarray) -> dict[str, np.ndarray]:
         """Gate inputs of token vectors for both directions; row 0 is padding, whose update gate keeps the state."""
         out = {}
@@ -155,13 +186,17 @@ class Model:
         return (out, kept) if keep else out
 
     def attend(self, hs: np.ndarray, real: np.ndarray):
-        """Attention weights (WINDOW, windows, 3), each category its own, pooled states and logits; real: which places hold tokens."""
+        """Attention weights (WINDOW, windows, 3), each category its own, what each state says of each category, and logits.
+
+        Pooling states by the weights and reading the pooled state is the same as pooling what is read of the states.
+        real: which places hold tokens.
+        """
         a = np.tanh(hs @ self.p["wa"] + self.p["ba"])
         e = np.where(real.T[:, :, None], a @ self.p["va"], np.float32(-1e9))
         e = np.exp(e - e.max(0))
         w = e / e.sum(0)
-        pooled = np.matmul(w.transpose(1, 2, 0), hs.transpose(1, 0, 2))
-        return a, w, pooled, np.einsum("nch,hc->nc", pooled, self.p["wo"]) + self.p["bo"]
+        said = hs @ self.p["wo"]
+        return a, w, said, (w * said).sum(0) + self.p["bo"]
 
     def gradients(self, feats: list[tuple[int, list[int]]], ids: np.ndarray, doc: np.ndarray, target: np.ndarray, mask: np.ndarray | None = None) -> dict:
         """Gradients of the log loss of documents, each the smooth maximum of its windows; mask: factors of the inputs."""
@@ -172,7 +207,7 @@ class Model:
         proj = self.project(emb)
         hs, kept = self.states(proj, ids, keep=True)
         real = ids > 0
-        a, w, pooled, logit = self.attend(hs, real)
+        a, w, said, logit = self.attend(hs, real)
         n_docs = len(target)
         top = np.full((n_docs, 3), -1e9, np.float32)
         np.maximum.at(top, doc, logit)
@@ -181,10 +216,10 @@ class Model:
         np.add.at(tot, doc, e)
         dz = (_sigmoid(top + np.log(tot)) - target) / n_docs
         dl = dz[doc] * e / tot[doc]
-        g = {"wo": np.einsum("nch,nc->hc", pooled, dl), "bo": dl.sum(0)}
-        dp = dl[:, :, None] * p["wo"].T
-        dh = np.matmul(w.transpose(1, 0, 2), dp).transpose(1, 0, 2)
-        dw = np.matmul(hs.transpose(1, 0, 2), dp.transpose(0, 2, 1)).transpose(1, 0, 2)
+        wd = w * dl
+        g = {"wo": np.tensordot(hs, wd, ((0, 1), (0, 1))), "bo": dl.sum(0)}
+        dh = wd @ p["wo"].T
+        dw = said * dl
         de = w * (dw - (w * dw).sum(0))
         g["va"] = np.tensordot(a, de, ((0, 1), (0, 1)))
         da = de @ p["va"].T * (1 - a * a)
@@ -371,7 +406,7 @@ def _score(model: Model):
                     x = tokens(t) if t else []
                     rows.append(np.fromiter(map(known.__getitem__, x), np.int64, len(x)))
                 if known.fresh:
-                    for k, x in model.project(model.embed([model.features(w) for w in known.fresh])).items():
+                    for k, x in model.project(model.embed_words(known.fresh)).items():
                         if len(known) >= len(table[k]):
                             table[k] = np.concatenate([table[k], np.empty((len(known), 3 * HIDDEN), np.float32)])
                         table[k][had : len(known) + 1] = x[1:]

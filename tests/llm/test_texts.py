@@ -423,6 +423,13 @@ def test_gradients_match_differences():
     assert dx[list(rows).index(w), 3] == pytest.approx((up - down) / 2e-3, rel=0.05, abs=2e-4)
 
 
+def test_words_embedded_at_once_are_as_one_by_one():
+    words = ["a", "死ね", "12345", "7", "abc", "くたばれ", "𠮷野", "xy", "ab"]
+    for known in ([], words[:6]):
+        model = abuse.Model(known, sorted({g for w in known for g in abuse.grams(w)}), 3)
+        assert np.allclose(model.embed_words(words), model.embed([model.features(w) for w in words]), atol=1e-6)
+
+
 def test_tokens_close_up_disguises():
     assert abuse.tokens("you are a c.o.m.p.l.e.t.e idiooooot!!") == ["you", "are", "a", "complete", "idiot", "!", "!"]
     assert abuse.tokens("喘．ぎ ｸｽﾞ") == ["喘", "ぎ", "クズ"]
