@@ -11,6 +11,9 @@ WINDOW + STEP - 1 <= SHINGLE, and whatever such shingles cover of an item lies w
 SHINGLE letters from the beginnings of the item's windows that were found. So only pairs are passed over in which those
 stretches together weigh less than the cut.
 
+Items of fewer than SHINGLE letters have no shingle. Of these, pieces of half their letters (LEAST at least, or all if there
+are fewer) are matched by an automaton, and what share of the item they cover decides.
+
 The items are the query set: they are taken in blocks of at most BLOCK_CHARS characters, each shipped to the
 tasks once; the corpus is read block-wise and never shuffled.
 """
@@ -38,6 +41,8 @@ SHINGLE = 12
 BLOCK_CHARS = 2_000_000
 #: Characters of a batch that are fingerprinted at once, a multiple of STEP.
 BLOCK = 1 << 19
+#: Letters of a piece of a short item at least.
+LEAST = 4
 _B = np.uint64(0x9E3779B97F4A7C15)
 _NO = re.compile(r"[\W_]+")
 
@@ -94,7 +99,19 @@ class _Index:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = np.array([i for i, _ in items], dtype=np.int64)
         texts = [letters(t) for _, t in items]
-        self.short = [(k, t) for k, t in enumerate(texts) if 0 < len(t) < SHINGLE]
+        self.short = {k: t for k, t in enumerate(texts) if 0 < len(t) < SHINGLE}
+        self.pieces = None
+        if self.short:
+            import ahocorasick
+            places: dict[str, list[tuple[int, int]]] = {}
+            for k, t in self.short.items():
+                n = min(len(t), max(LEAST, -(-len(t) // 2)))
+                for i in range(len(t) - n + 1):
+                    places.setdefault(t[i : i + n], []).append((k, i))
+            self.pieces = ahocorasick.Automaton()
+            for g, at in places.items():
+                self.pieces.add_word(g, (len(g), at))
+            self.pieces.make_automaton()
         long = [k for k, t in enumerate(texts) if len(t) >= SHINGLE]
         grams = {k: _grams(_codes(texts[k]), SHINGLE) for k in long}
         values, counts = np.unique(np.concatenate([np.unique(g) for g in grams.values()]) if grams else np.zeros(0, dtype=np.uint64), return_counts=True)
@@ -143,6 +160,14 @@ class _Index:
             right.append(k[ok])
         return np.concatenate(left), np.concatenate(right)
 
+    def short_similarities(self, text: str) -> dict[int, float]:
+        """Share of each short item's letters under pieces that the text holds."""
+        covered: dict[int, set[int]] = {}
+        for n, at in {id(x): x for _, x in self.pieces.iter(text)}.values():
+            for k, i in at:
+                covered.setdefault(k, set()).update(range(i, i + n))
+        return {k: len(x) / len(self.short[k]) for k, x in covered.items()}
+
     def similarity(self, k: int, shingles: np.ndarray) -> float:
         """Share of item k, by weight, under shingles that are among the sorted ones given."""
         g = self.grams[k]
@@ -193,8 +218,8 @@ def _batch(index: _Index, b: pa.RecordBatch, cut: float) -> pa.RecordBatch:
             shingles = np.sort(_grams(codes[start[d] : start[d] + len(texts[d])], SHINGLE))
         if len(shingles) and (s := index.similarity(o, shingles)) >= cut:
             rows.append((d, o, s))
-    for o, t in index.short:
-        rows += [(d, o, 1.0) for d, x in enumerate(texts) if t in x]
+    if index.short:
+        rows += [(d, o, x) for d, t in enumerate(texts) for o, x in index.short_similarities(t).items() if x >= cut]
     return pa.RecordBatch.from_arrays(
         [ids.take(pa.array([r[0] for r in rows], pa.int64())), pa.array([int(index.ids[r[1]]) for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())],
         names=["doc_id", "item_id", "similarity"])
@@ -215,7 +240,7 @@ def leaks(documents: DataFrame, items: DataFrame, cut: float = 0.5) -> DataFrame
     """doc_id, item_id, similarity of every document that holds at least `cut` of an item, in one or more pieces.
 
     Case, width, punctuation, blanks and line breaks do not matter; other small alterations cost the characters they
-    touch. Items of fewer than SHINGLE letters must be held whole; items and documents without letters hold
+    touch. Items of fewer than LEAST letters must be held whole, items and documents without letters hold
     nothing. Null texts and ids are left out; repeated documents come out as often as they are given; an item_id given
     with several texts counts by the best of them. An empty table gives no rows.
     """

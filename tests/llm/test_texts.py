@@ -251,6 +251,22 @@ def test_leaks(spark):
     assert leakage.leaks(d, i.limit(0)).collect() == [] and leakage.leaks(d.limit(0), i).collect() == []
 
 
+def test_short_items_are_found_in_part(spark):
+    items = [(1, "abcdefghij"), (2, "短い文です"), (3, "ab"), (4, "zyxwvutsrqp"), (5, "!?")]
+    docs = [(1, "00 abcdefghix 00"), (2, "xx短い文でしたxx"), (3, "a b"), (4, "zyxwvX tsrqp"), (5, "abcd efXXX"), (6, "zyxw"), (7, ""), (8, "fghij and abcde")]
+    df = spark.createDataFrame
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in leakage.leaks(df(docs, "doc_id bigint, text string"), df(items, "item_id bigint, text string")).collect()}
+
+    def plain(doc, item):
+        d, t = leakage.letters(doc), leakage.letters(item)
+        n = min(len(t), max(4, -(-len(t) // 2)))
+        held = {j for i in range(len(t) - n + 1) if t[i : i + n] in d for j in range(i, i + n)} if t else set()
+        return len(held) / len(t) if t else 0
+
+    want = {(i, k): plain(d, t) for i, d in docs for k, t in items if plain(d, t) >= 0.5}
+    assert got == pytest.approx(want) and want[1, 1] == 0.9 and (8, 1) in want and (6, 4) not in want
+
+
 def test_no_pair_over_the_cut_is_lost_before_the_exact_check():
     import pyarrow as pa
     r = random.Random(11)
