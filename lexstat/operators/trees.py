@@ -135,6 +135,16 @@ def counts(occurrences: DataFrame, modifiers: DataFrame, frames: DataFrame, loan
     return d.select("occ_id", *[c.alias(x) for c, x in zip(cols, COUNTS)])
 
 
+def attached(occurrences: DataFrame, modifiers: DataFrame, frames: DataFrame, place: tuple[str, ...] = ("doc_id", "start", "end")) -> DataFrame:
+    """occurrences with kind, modifier, case and predicate of the noun at the same place, null where there is none.
+
+    modifiers: place, kind, modifier; frames: place, case, predicate. Of several at one place the smallest by their values holds.
+    """
+    on = list(place)
+    first = lambda d, cols: d.groupBy(*on).agg(F.min(F.struct(*cols)).alias("_x")).select(*on, *[F.col(f"_x.{c}").alias(c) for c in cols])
+    return occurrences.join(first(modifiers, ["kind", "modifier"]), on, "left").join(first(frames, ["case", "predicate"]), on, "left")
+
+
 def rows(occurrences: DataFrame, counted: DataFrame, novelty: DataFrame, groups: list[str]) -> DataFrame:
     """occ_id, the 19 columns of shape, the 16 of counts, and mean, max and zero share of novelty for each group: one row an occurrence.
 

@@ -105,6 +105,14 @@ def agreement(pairs: DataFrame, by: list[str]) -> DataFrame:
         share(is_concrete(a) == is_concrete(b)).alias("concrete"))
 
 
+def division_agreement(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """by, division, n, both: of the word pairs (a, b: category arrays) of which one has a division, the share in which both have."""
+    d = pairs.select(*by, divisions(F.col("a")).alias("_a"), divisions(F.col("b")).alias("_b"))
+    d = d.select(*by, "_a", "_b", F.explode(F.array_union("_a", "_b")).alias("division"))
+    both = F.array_contains("_a", F.col("division")) & F.array_contains("_b", F.col("division"))
+    return d.groupBy(*by, "division").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(both.cast("double")), 6).alias("both"))
+
+
 def batches(words: DataFrame, seed: int, size: int = 20) -> DataFrame:
     """word, chunk_id, chunk_index: distinct words shuffled by a seeded hash and cut into batches of `size`.
 

@@ -578,6 +578,17 @@ def repeat_run_agreement(s: SparkSession, d: str) -> DataFrame:
     return votes.agreement(a.join(b, ["word", "model"]), ["model"])
 
 
+@query("WITH" + _VOTES + """,
+pq AS (SELECT a.model, list_distinct(list_transform(a.categories, lambda c: c // 10)) AS x, list_distinct(list_transform(b.categories, lambda c: c // 10)) AS y FROM lw a JOIN lw b USING (word, model) WHERE a.pass_seed = 694 AND b.pass_seed = 1002 AND a.categories IS NOT NULL AND b.categories IS NOT NULL),
+un AS (SELECT model, x, y, unnest(list_distinct(list_concat(x, y)))::INT AS division FROM pq)
+SELECT model, division, count(*) AS n, round(avg((list_contains(x, division) AND list_contains(y, division))::INT::DOUBLE), 6) AS both FROM un GROUP BY 1, 2""".replace("AS both", 'AS "both"'))
+def division_agreement(s: SparkSession, d: str) -> DataFrame:
+    v = _votes(s, d).where("categories is not null")
+    a = v.where("pass_seed = 694").select("word", "model", F.col("categories").alias("a"))
+    b = v.where("pass_seed = 1002").select("word", "model", F.col("categories").alias("b"))
+    return votes.division_agreement(a.join(b, ["word", "model"]), ["model"])
+
+
 _RANKS = """
 rs AS (SELECT occ_id, word, any_value(context) AS context FROM occurrences WHERE word IS NOT NULL AND occ_id IS NOT NULL GROUP BY occ_id, word),
 cd AS (SELECT occ_id, word, unnest(context) AS candidate, unnest(range(1, len(context) + 1)) AS i FROM rs),

@@ -171,6 +171,35 @@ def wordnet_offsets(spark: SparkSession, path: str) -> DataFrame:
     return d.select(f[0].alias("lemma"), F.slice(f, -f[2].cast("int"), f[2].cast("int")).alias("offsets"))
 
 
+def lexnames(spark: SparkSession, path: str) -> DataFrame:
+    """number, lexname of a table of lexicographer files."""
+    f = F.split("value", "\t")
+    return spark.read.text(path).select(f[0].try_cast("int").alias("number"), F.get(f, 1).alias("lexname")).where("number is not null and lexname is not null")
+
+
+def wordnet_files(spark: SparkSession, path: str) -> DataFrame:
+    """offset, number (of the lexicographer file) of a data file; its preface lines begin with two spaces."""
+    f = F.split("value", " ", 3)
+    return spark.read.text(path).where(~F.col("value").startswith("  ")).select(f[0].alias("offset"), F.get(f, 1).try_cast("int").alias("number")).where("number is not null")
+
+
+def lemma_lexnames(index: DataFrame, files: DataFrame, names: DataFrame) -> DataFrame:
+    """lemma, lexnames (sorted set): the lexicographer files of all senses of a lemma; an offset without one is passed over.
+
+    index: lemma, offsets; files: offset, number; names: number, lexname.
+    """
+    at = files.join(names, "number").select("offset", "lexname")
+    j = index.select("lemma", F.explode("offsets").alias("offset")).join(at, "offset", "left")
+    return j.groupBy("lemma").agg(F.array_sort(F.collect_set("lexname")).alias("lexnames"))
+
+
+def words_of_lexnames(glosses: DataFrame, lemmas: DataFrame, wanted: list[str]) -> DataFrame:
+    """word: words one of whose first sense's glosses (first_glosses) is a lemma of one of the wanted lexicographer files."""
+    g = glosses.select("word", F.explode("first_glosses").alias("gloss")).select("word", F.replace(F.trim("gloss"), F.lit(" "), F.lit("_")).alias("lemma"))
+    hit = lemmas.where(F.arrays_overlap("lexnames", F.array(*map(F.lit, wanted)))).select("lemma")
+    return g.join(hit, "lemma", "left_semi").select("word").distinct()
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """path, bytes, sha256 of files."""
     d = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

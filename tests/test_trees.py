@@ -174,3 +174,22 @@ def test_hot_contexts_give_the_same_cosines(spark):
     a = p.where("word in ('w1', 'w7', 'w30')")
     plain = sorted(map(tuple, substitution.cosines(a, p).collect()))
     assert len(plain) == 3 * 39 and sorted(map(tuple, substitution.cosines(a, p, hot_rows=10).collect())) == plain
+
+
+def test_wordnet_files(spark, tmp_path):
+    (tmp_path / "lexnames").write_text("03\tnoun.Tops\t1\n09\tnoun.cognition\t1\nx\n")
+    (tmp_path / "data.noun").write_text("  1 preface\n00000010 09 n 01 idea 0 000 | a thought\n00000020 03 n 02 thing 0 it 0 000 | g\n")
+    (tmp_path / "index.noun").write_text("  1 preface\nidea n 2 1 @ 2 1 00000010 00000020  \nraw_idea n 1 0 1 0 00000010  \nlost n 1 0 1 0 00000099  \n")
+    lem = readers.lemma_lexnames(readers.wordnet_offsets(spark, str(tmp_path / "index.noun")), readers.wordnet_files(spark, str(tmp_path / "data.noun")), readers.lexnames(spark, str(tmp_path / "lexnames")))
+    assert {r["lemma"]: r["lexnames"] for r in lem.collect()} == {"idea": ["noun.Tops", "noun.cognition"], "raw_idea": ["noun.cognition"], "lost": []}
+    g = spark.createDataFrame([("概念", ["thing", " raw idea "]), ("物", ["thing"]), ("無", [])], "word string, first_glosses array<string>")
+    assert [r[0] for r in readers.words_of_lexnames(g, lem, ["noun.cognition"]).collect()] == ["概念"]
+
+
+def test_what_stands_at_a_place_is_attached(spark):
+    df = spark.createDataFrame
+    o = df([(1, 10, 0, 2), (2, 10, 5, 6), (3, 11, 0, 2)], "occ_id bigint, doc_id bigint, start int, end int")
+    m = df([(10, 0, 2, "の", "最初"), (10, 0, 2, "連体", "x"), (12, 0, 2, "の", "y")], "doc_id bigint, start int, end int, kind string, modifier string")
+    f = df([(10, 5, 6, "を", "組む"), (11, 0, 1, "が", "z")], "doc_id bigint, start int, end int, case string, predicate string")
+    got = {r["occ_id"]: (r["kind"], r["modifier"], r["case"], r["predicate"]) for r in trees.attached(o, m, f).collect()}
+    assert got == {1: ("の", "最初", None, None), 2: (None, None, "を", "組む"), 3: (None, None, None, None)}
